@@ -98,7 +98,7 @@ def _(t):
 
 
 _RANKED = """(SELECT CustomerKey, AccountKey, CreateDate, CreditRatingKey,
-    dense_rank() OVER (PARTITION BY AccountKey ORDER BY CreateDate DESC) AS attempt FROM src_customer)"""
+    CAST(dense_rank() OVER (PARTITION BY AccountKey ORDER BY CreateDate DESC) AS INT) AS attempt FROM src_customer)"""
 
 
 def _cards(t):

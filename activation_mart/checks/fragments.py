@@ -109,7 +109,7 @@ def block_fragments(name: str, condition: str) -> None:
     """Attempts and one-per-account blocks of the rating changes that meet ``condition``."""
     FRAGMENTS[f"x_attempt_{name}"] = f"""
     SELECT f.AccountKey, h.CustomerKey, h.ChangeDate, h.CreditRatingKey, h.SysUserKey, u.FullName,
-        dense_rank() OVER (PARTITION BY f.AccountKey ORDER BY h.ChangeDate DESC) AS attempt
+        CAST(dense_rank() OVER (PARTITION BY f.AccountKey ORDER BY h.ChangeDate DESC) AS INT) AS attempt
     FROM (SELECT CustomerKey, max(ChangeDate) AS LatestDate FROM src_rating_history
           WHERE CreditRatingKey IN ('B5', 'P9', 'C5') AND {condition} GROUP BY CustomerKey) m
     JOIN src_rating_history h ON h.CustomerKey = m.CustomerKey AND h.ChangeDate = m.LatestDate

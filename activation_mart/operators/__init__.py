@@ -1,14 +1,26 @@
 from .audit import drift, duplicates
 from .keys import with_surrogate_key
 from .latest import latest_one, latest_with_ties, rows_at_latest, with_attempt
-from .lookup import apply_inner, apply_left, left_lookup, null_aware_anti, union_distinct
+from .lookup import (
+    SPREAD,
+    apply_inner,
+    apply_left,
+    left_lookup,
+    null_aware_anti,
+    only_keys,
+    small_keys,
+    union_distinct,
+    with_spread,
+)
 from .patch import add_column, append_new, keyed_patch, set_where
 from .top import preview, top_n
 from .waterfall import first_match, rung_number
 
 __all__ = [
+    "SPREAD",
     "add_column", "append_new", "apply_inner", "apply_left", "drift", "duplicates",
     "first_match", "keyed_patch", "latest_one", "latest_with_ties", "left_lookup",
-    "null_aware_anti", "preview", "rows_at_latest", "rung_number", "set_where", "top_n",
-    "union_distinct", "with_attempt", "with_surrogate_key",
+    "null_aware_anti", "only_keys", "preview", "rows_at_latest", "rung_number", "set_where",
+    "small_keys", "top_n",
+    "union_distinct", "with_attempt", "with_spread", "with_surrogate_key",
 ]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import use_checkpoint_dir
+from ..session import settle
 
 POSITION_BITS = 33
 
@@ -19,17 +19,15 @@ def with_surrogate_key(
 
     The rows are range-partitioned and sorted, then each gets its partition
     number and its position there (``monotonically_increasing_id`` holds both).
-    The checkpoint fixes these: range bounds come from a sample and would differ
-    when computed again. One count per partition gives the first key of each.
+    Writing them down fixes these: range bounds come from a sample and would
+    differ when computed again. One count per partition gives its first key.
     """
-    spark = df.sparkSession
-    use_checkpoint_dir(spark)
-    placed = (
+    placed = settle(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("__id", F.monotonically_increasing_id())
-        .withColumn("__part", F.shiftright("__id", POSITION_BITS).cast("int"))
-        .checkpoint()
+        .withColumn("__part", F.shiftright("__id", POSITION_BITS).cast("int")),
+        "numbered",
     )
     counts = placed.groupBy("__part").count().collect()  # one row per partition
     offsets, following = [], start
@@ -37,7 +35,7 @@ def with_surrogate_key(
         offsets.append((part, following))
         following += count
     # As many rows as partitions, hence small enough to broadcast.
-    firsts = spark.createDataFrame(offsets, "__part int, __first bigint")
+    firsts = df.sparkSession.createDataFrame(offsets, "__part int, __first bigint")
     position = F.col("__id").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
     return placed.join(F.broadcast(firsts), "__part").select(
         (F.col("__first") + position).alias(name), *df.columns

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NULL_SPREAD = 1024
+BROADCAST_KEYS = 1_000_000  # longs: a few tens of megabytes per executor
+SPREAD = "__spread"
 
 
 def apply_inner(left: DataFrame, rows_by_key: DataFrame, key: str) -> DataFrame:
@@ -20,6 +22,16 @@ def apply_left(left: DataFrame, rows_by_key: DataFrame, key: str) -> DataFrame:
     return left.join(rows_by_key, key, "left")
 
 
+def with_spread(facts: DataFrame, key: str) -> DataFrame:
+    """Add the second look-up column, 0 for every key.
+
+    Facts grouped by key and this column leave the aggregate partitioned as
+    ``left_lookup`` needs them. It is computed from the key, because the
+    optimiser would take a constant out of the join keys.
+    """
+    return facts.withColumn(SPREAD, F.pmod(F.hash(key), F.lit(1)))
+
+
 def left_lookup(
     left: DataFrame, facts: Sequence[DataFrame], key: str, fact_key: str, spread_by: str
 ) -> DataFrame:
@@ -32,19 +44,32 @@ def left_lookup(
     """
     key_column = F.col(key)
     out = left.withColumn(
-        "__spread",
+        "__left_spread",
         F.when(key_column.isNull(), F.pmod(F.hash(spread_by), F.lit(NULL_SPREAD))).otherwise(0),
     )
     for fact in facts:
-        # Always 0, but not a constant: the optimiser would take a constant out of the join keys.
-        keyed = fact.withColumn("__fact_spread", F.pmod(F.hash(fact_key), F.lit(1)))
+        keyed = fact if SPREAD in fact.columns else with_spread(fact, fact_key)
         keyed = keyed.withColumnRenamed(fact_key, "__fact_key")
         out = out.join(
             keyed,
-            (key_column == F.col("__fact_key")) & (F.col("__spread") == F.col("__fact_spread")),
+            (key_column == F.col("__fact_key")) & (F.col("__left_spread") == F.col(SPREAD)),
             "left",
-        ).drop("__fact_key", "__fact_spread")
-    return out.drop("__spread")
+        ).drop("__fact_key", SPREAD)
+    return out.drop("__left_spread")
+
+
+def small_keys(df: DataFrame, column: str) -> DataFrame | None:
+    """The non-NULL keys of a settled frame if they are few enough to broadcast, else None."""
+    keys = df.select(column).filter(F.col(column).isNotNull())
+    return keys if keys.count() <= BROADCAST_KEYS else None
+
+
+def only_keys(df: DataFrame, keys: DataFrame | None, key: str) -> DataFrame:
+    """Rows with one of the ``keys``, dropped before any shuffle; all rows if there is no such list."""
+    if keys is None:
+        return df
+    named = keys.withColumnRenamed(keys.columns[0], key)
+    return df.join(F.broadcast(named), key, "left_semi")
 
 
 def null_aware_anti(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import ci_eq, same_text_in
-from ..operators import left_lookup, set_where
+from ..operators import SPREAD, left_lookup, only_keys, set_where, with_spread
 from ..sources import Sources
 
 KEY = "IdentityValidationKey"
@@ -24,25 +24,29 @@ def failed_quiz_rows(accounts: DataFrame, src: Sources) -> DataFrame:
     )
 
 
-def quiz_facts(src: Sources) -> DataFrame:
+def quiz_facts(src: Sources, only: DataFrame | None = None) -> DataFrame:
     """Per check: greatest quiz result, and whether a quiz with a risk row failed."""
+    quizzes = only_keys(src["quiz"], only, KEY)
+    risks = only_keys(src["risk"].select(KEY), only, KEY)
     failed = same_text_in("QuizResultCode", config.FAILED_QUIZ_CODES)
-    results = src["quiz"].groupBy(KEY).agg(
+    results = with_spread(quizzes, KEY).groupBy(KEY, SPREAD).agg(
         F.max("QuizResultCode").alias("quiz_result"), F.bool_or(failed).alias("__failed")
     )
-    assessed = src["risk"].select(KEY).distinct().withColumn("__assessed", F.lit(True))
-    return results.join(assessed, KEY, "left").select(
+    assessed = with_spread(risks, KEY).distinct()
+    assessed = assessed.withColumn("__assessed", F.lit(True))
+    return results.join(assessed, [KEY, SPREAD], "left").select(
         KEY,
+        SPREAD,
         F.lit(True).alias("quiz_taken"),
         "quiz_result",
         F.coalesce(F.col("__failed") & F.col("__assessed"), F.lit(False)).alias("quiz_failed"),
     )
 
 
-def internal_checks(src: Sources) -> DataFrame:
+def internal_checks(src: Sources, only: DataFrame | None = None) -> DataFrame:
     """Checks answered by the internal vendor with the passing status."""
     passed = (
-        src["identity_validation_status"]
+        only_keys(src["identity_validation_status"], only, KEY)
         .filter(
             (F.col("IdentityValidationVendorKey") == config.INTERNAL_VENDOR)
             & (F.col("IdentityValidationStatusTypeKey") == config.INTERNAL_STATUS_TYPE)
@@ -51,17 +55,20 @@ def internal_checks(src: Sources) -> DataFrame:
     )
     vendors = src["identity_validation_vendor"].select("IdentityValidationVendorKey")
     types = src["identity_validation_status_type"].select("IdentityValidationStatusTypeKey")
+    known = passed.join(vendors, "IdentityValidationVendorKey").join(
+        types, "IdentityValidationStatusTypeKey"
+    )
     return (
-        passed.join(vendors, "IdentityValidationVendorKey")
-        .join(types, "IdentityValidationStatusTypeKey")
-        .select(KEY)
+        with_spread(known.select(KEY), KEY)
         .distinct()
         .withColumn("internal_check", F.lit(True))
     )
 
 
-def with_check_facts(accounts: DataFrame, src: Sources) -> DataFrame:
-    facts = [quiz_facts(src), internal_checks(src)]
+def with_check_facts(
+    accounts: DataFrame, src: Sources, only: DataFrame | None = None
+) -> DataFrame:
+    facts = [quiz_facts(src, only), internal_checks(src, only)]
     return left_lookup(accounts, facts, "LastIdentityValidationKey", KEY, "AccountKey")
 
 

@@ -22,20 +22,25 @@ def account_customers(src: Sources, accounts: DataFrame | None = None) -> DataFr
 def latest_check(src: Sources, accounts: DataFrame | None = None) -> DataFrame:
     """Per account the latest identity check of any of its customers.
 
-    Reduced per customer first, so the join with the customers meets one row per
-    customer and uses the partitioning the reduction leaves.
+    For all accounts the checks are reduced per customer first, so the join with
+    the customers meets one row per customer and uses the partitioning the
+    reduction leaves. For given accounts the links are cut to their customers
+    before the checks are looked up.
     """
     order = ["CheckDate", "LastIdentityValidationKey"]
     checks = src["identity_validation"].select(
-        "IdentityValidationKey", F.col("CreateDate").alias("CheckDate"),
+        F.col("IdentityValidationKey").alias("LastIdentityValidationKey"),
+        F.col("CreateDate").alias("CheckDate"),
         "VerificationStatusType", "LastAttemptValue",
     )
-    linked = (
-        src["identity_validation_customer"]
-        .select("IdentityValidationKey", "CustomerKey")
-        .join(checks, "IdentityValidationKey")
-        .withColumnRenamed("IdentityValidationKey", "LastIdentityValidationKey")
+    links = src["identity_validation_customer"].select(
+        F.col("IdentityValidationKey").alias("LastIdentityValidationKey"), "CustomerKey"
     )
-    by_customer = latest_one(linked, "CustomerKey", order)
-    by_account = by_customer.join(account_customers(src, accounts), "CustomerKey")
-    return latest_one(by_account, "AccountKey", order).select("AccountKey", *CHECK_COLUMNS)
+    customers = account_customers(src, accounts)
+    if accounts is None:
+        by_customer = latest_one(links.join(checks, "LastIdentityValidationKey"), "CustomerKey", order)
+        candidates = by_customer.join(customers, "CustomerKey").drop("CustomerKey")
+    else:
+        links = links.join(customers, "CustomerKey").drop("CustomerKey")
+        candidates = links.join(checks, "LastIdentityValidationKey")
+    return latest_one(candidates, "AccountKey", order).select("AccountKey", *CHECK_COLUMNS)

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import ci_eq, ci_like, month_year
-from ..operators import first_match, left_lookup, set_where, union_distinct
+from ..operators import (
+    SPREAD,
+    first_match,
+    left_lookup,
+    only_keys,
+    set_where,
+    union_distinct,
+    with_spread,
+)
 from ..sources import Sources, activity_type_order
 from .checks import failed_quiz_rows, with_check_facts
 
@@ -16,10 +24,10 @@ FAILURE_COLUMNS = (
 )
 
 
-def online_failures(src: Sources) -> DataFrame:
+def online_failures(src: Sources, only: DataFrame | None = None) -> DataFrame:
     """Unconfirmed online activities that have a known type."""
     return (
-        src["activation_activity"]
+        only_keys(src["activation_activity"], only, "CustomerKey")
         .filter(F.col("ActivationTypeKey") == config.ONLINE_ACTIVATION_TYPE)
         .filter(F.col("IsConfirmed") == F.lit(False))
         .join(src["activation_type"].select("ActivationTypeKey"), "ActivationTypeKey")
@@ -104,7 +112,7 @@ def all_failures(accounts: DataFrame, src: Sources) -> DataFrame:
     return union_distinct(others.select(*FAILURE_COLUMNS), failed)
 
 
-def failure_flags(src: Sources) -> DataFrame:
+def failure_flags(src: Sources, only: DataFrame | None = None) -> DataFrame:
     """Per customer, which kinds of failure occurred: one row of flags, whatever its activity count."""
     text = "ActivationActivityType"
     kinds = {
@@ -120,9 +128,9 @@ def failure_flags(src: Sources) -> DataFrame:
         *(F.coalesce(test, F.lit(False)).alias(name) for name, test in kinds.items()),
     )
     return (
-        online_failures(src)
+        with_spread(online_failures(src, only), "CustomerKey")
         .join(types, "ActivationActivityTypeKey")
-        .groupBy("CustomerKey")
+        .groupBy("CustomerKey", SPREAD)
         .agg(*(F.bool_or(name).alias(name) for name in kinds))
     )
 

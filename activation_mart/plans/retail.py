@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import has_all, month_boundaries
 from ..functions.text import folded
-from ..operators import first_match, left_lookup, set_where
+from ..operators import SPREAD, first_match, left_lookup, only_keys, set_where, with_spread
 from ..operators.waterfall import Rung
 from ..sources import Sources
 from .checks import failed_quiz_rows, with_check_facts
@@ -17,14 +17,14 @@ from .online import is_approved
 TRACKER = "ACTIVATION_TRACKER"
 
 
-def retail_customers(src: Sources) -> DataFrame:
+def retail_customers(src: Sources, only: DataFrame | None = None) -> DataFrame:
     """What the retail ladder needs of a customer; personal data only as 'is given'."""
     given = {
         "has_first_name": "FirstName", "has_last_name": "LastName", "has_ssn": "SSN",
         "has_parent_first_name": "ParentFirstName", "has_parent_last_name": "ParentLastName",
         "has_parent_ssn": "ParentSSN", "has_parent_dob": "ParentDOB",
     }
-    return src["customer"].select(
+    return only_keys(src["customer"], only, "CustomerKey").select(
         "CustomerKey",
         *(F.col(column).isNotNull().alias(name) for name, column in given.items()),
         month_boundaries("DOB", "CreateDate").alias("age_months"),
@@ -56,12 +56,13 @@ def retail_candidates(accounts: DataFrame, src: Sources) -> DataFrame:
     )
 
 
-def refund_flags(src: Sources) -> DataFrame:
+def refund_flags(src: Sources, only: DataFrame | None = None) -> DataFrame:
     """Per customer, which kinds of refund reason occurred."""
     reason = F.col("refundreasonkey")
     negative = F.coalesce(reason == config.NEGATIVE_REFUND, F.lit(False))
     limit = F.coalesce(reason == config.LIMIT_REFUND, F.lit(False))
-    return src["refund"].groupBy("CustomerKey").agg(
+    refunds = with_spread(only_keys(src["refund"], only, "CustomerKey"), "CustomerKey")
+    return refunds.groupBy("CustomerKey", SPREAD).agg(
         F.bool_or(negative).alias("refund_negative"),
         F.bool_or(limit).alias("refund_limit"),
         F.bool_or(~negative & ~limit).alias("refund_other"),

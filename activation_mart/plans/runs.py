@@ -12,8 +12,10 @@ from ..operators import (
     apply_inner,
     apply_left,
     left_lookup,
+    small_keys,
     with_surrogate_key,
 )
+from ..session import settle
 from ..sources import Sources
 from .block import block_per_account
 from .cards import card_balances, card_resolution
@@ -74,21 +76,27 @@ def classify(
     quiz: Column,
     internal: Column,
     fill_online: bool,
+    settled: bool = False,
 ) -> DataFrame:
     """Set step, quiz result and internal tag where the four scopes allow.
 
     Everything looked up is one row per identity check or per card, so accounts
-    are shuffled twice however many of these facts there are.
+    are shuffled twice however many of these facts there are. ``settled``
+    accounts are cheap to read: where they are few, the fact tables are cut to
+    their keys first.
     """
-    customers = retail_customers(src).withColumn("customer_found", F.lit(True))
+    checks = small_keys(accounts, "LastIdentityValidationKey") if settled else None
+    cards = small_keys(accounts, "VCustomerkey") if settled else None
+    customers = retail_customers(src, cards).withColumn("customer_found", F.lit(True))
     facts = left_lookup(
         with_check_facts(
             accounts.withColumns(
                 {"__online": online, "__retail": retail, "__quiz": quiz, "__internal": internal}
             ),
             src,
+            checks,
         ),
-        [customers, refund_flags(src), failure_flags(src)],
+        [customers, refund_flags(src, cards), failure_flags(src, cards)],
         "VCustomerkey", "CustomerKey", "AccountKey",
     )
     step, tag = F.col(config.STEP_COLUMN), F.col("LastAttemptValue")
@@ -141,7 +149,7 @@ def run_add(
     Only new accounts, accounts of the window and unclassified online accounts
     are looked up; all others pass from scan to result without a shuffle.
     """
-    signups = latest_signup(new_only(account_extract(src, window, cfg), master))
+    signups = settle(latest_signup(new_only(account_extract(src, window, cfg), master)), "signups")
     rows = assemble(signups, src, window, cfg, restrict=True)
     if config.SURROGATE_COLUMN in master.columns:
         last = master.agg(F.max(config.SURROGATE_COLUMN)).first()[0] or 0
@@ -149,13 +157,17 @@ def run_add(
     recent = in_window("CreateDate", window)
     open_online = _is(config.ONLINE) & F.col(config.STEP_COLUMN).isNull()
     touched = F.coalesce(recent | open_online, F.lit(False))
+    accounts = settle(
+        master.filter(touched).unionByName(rows, allowMissingColumns=True), "open-accounts"
+    )
     classified = classify(
-        master.filter(touched).unionByName(rows, allowMissingColumns=True), src,
+        accounts, src,
         online=open_online,
         retail=_is(config.RETAIL) & recent,
         quiz=recent,
         internal=recent,
         fill_online=True,
+        settled=True,
     )
     return master.filter(~touched).unionByName(classified)
 
@@ -171,9 +183,10 @@ def run_update(
     Order matters: checks set the card keys that balances and steps read, and
     may reset the last attempt value before the internal tag is set again.
     """
-    ratings = changed_ratings(src, window)
-    changes = changed_accounts(
-        changed_checks(src, window), ratings, changed_status(src, window)
+    ratings = settle(changed_ratings(src, window), "changed-ratings")
+    changes = settle(
+        changed_accounts(changed_checks(src, window), ratings, changed_status(src, window)),
+        "changed-accounts",
     )
     held = master.filter(F.col("AccountKey").isNotNull())
     touched = held.join(changes, "AccountKey")
@@ -185,7 +198,7 @@ def run_update(
         block_per_account(src, customers=ratings, cfg=cfg),
         BLOCK_PATCH_COLUMNS,
     )
-    balanced = _patch_balances(blocked, src)
+    balanced = settle(_patch_balances(blocked, src), "changed-master")
     rechecked = F.col("__rechecked")
     classified = classify(
         balanced, src,
@@ -194,6 +207,7 @@ def run_update(
         quiz=rechecked,
         internal=rechecked,
         fill_online=False,
+        settled=True,
     )
     return untouched.unionByName(classified.select(*master.columns))
 

@@ -1,10 +1,11 @@
-"""Session settings and the shared checkpoint folder."""
+"""Session settings and frames kept in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -29,17 +30,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return builder.getOrCreate()
 
 
-def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Point ``checkpoint()`` at ``spark.checkpoint.dir``, the folder all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
     Only a local master may fall back to a folder of its own.
     """
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="activation-mart-checkpoint-")
-    context.setCheckpointDir(shared)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="activation-mart-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame that several branches read to the shared folder, and read it from there.
+
+    Its rows no longer depend on executors staying alive or on being computed
+    again alike; branches read only their columns, and its size is known, so
+    that Spark broadcasts it where, and only where, it is small.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark)}/activation-mart/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
