@@ -14,13 +14,13 @@ from .lookup import (
 )
 from .patch import add_column, append_new, keyed_patch, set_where
 from .top import preview, top_n
-from .waterfall import first_match, rung_number
+from .waterfall import first_match
 
 __all__ = [
     "SPREAD",
     "add_column", "append_new", "apply_inner", "apply_left", "drift", "duplicates",
     "first_match", "keyed_patch", "latest_one", "latest_with_ties", "left_lookup",
-    "null_aware_anti", "only_keys", "preview", "rows_at_latest", "rung_number", "set_where",
+    "null_aware_anti", "only_keys", "preview", "rows_at_latest", "set_where",
     "small_keys", "top_n",
     "union_distinct", "with_attempt", "with_spread", "with_surrogate_key",
 ]

@@ -29,7 +29,7 @@ def with_spread(facts: DataFrame, key: str) -> DataFrame:
     ``left_lookup`` needs them. It is computed from the key, because the
     optimiser would take a constant out of the join keys.
     """
-    return facts.withColumn(SPREAD, F.pmod(F.hash(key), F.lit(1)))
+    return facts.withColumn(SPREAD, F.expr(f"pmod(hash({key}), 1)"))
 
 
 def left_lookup(
@@ -42,19 +42,13 @@ def left_lookup(
     column; all other rows, and the facts, have 0 there. The frames share one
     shuffle of ``left``.
     """
-    key_column = F.col(key)
-    out = left.withColumn(
-        "__left_spread",
-        F.when(key_column.isNull(), F.pmod(F.hash(spread_by), F.lit(NULL_SPREAD))).otherwise(0),
-    )
+    spread = f"CASE WHEN {key} IS NULL THEN pmod(hash({spread_by}), {NULL_SPREAD}) ELSE 0 END"
+    out = left.withColumn("__left_spread", F.expr(spread))
+    match = F.expr(f"{key} = __fact_key AND __left_spread = {SPREAD}")
     for fact in facts:
         keyed = fact if SPREAD in fact.columns else with_spread(fact, fact_key)
         keyed = keyed.withColumnRenamed(fact_key, "__fact_key")
-        out = out.join(
-            keyed,
-            (key_column == F.col("__fact_key")) & (F.col("__left_spread") == F.col(SPREAD)),
-            "left",
-        ).drop("__fact_key", SPREAD)
+        out = out.join(keyed, match, "left").drop("__fact_key", SPREAD)
     return out.drop("__left_spread")
 
 

@@ -9,28 +9,37 @@ from pyspark.sql import functions as F
 
 
 def keyed_patch(
-    master: DataFrame, patch: DataFrame, key: str, columns: Sequence[str], mode: str = "overwrite"
+    master: DataFrame,
+    patch: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    mode: str = "overwrite",
+    where: str | None = None,
+    flag: str | None = None,
 ) -> DataFrame:
     """Set ``columns`` where ``patch``, which holds one row per key, has the key.
 
     ``overwrite`` writes NULLs of the patch too; ``fill_null`` leaves columns
-    that already hold a value.
+    that already hold a value. ``where`` limits the rows of the master, ``flag``
+    names a column telling which rows were hit.
     """
     if mode not in ("overwrite", "fill_null"):
         raise ValueError(f"unknown patch mode: {mode}")
-    news = patch.select(
-        key, F.lit(True).alias("__hit"), *(F.col(c).alias(f"__new_{c}") for c in columns)
+    types = {c: master.schema[c].dataType.simpleString() for c in columns}
+    news = patch.selectExpr(
+        key, "true AS __found",
+        *(f"CAST({c} AS {data_type}) AS __new_{c}" for c, data_type in types.items()),
     )
-
-    def patched(field) -> Column:
-        old = F.col(field.name)
-        if field.name not in columns:
-            return old
-        hit = F.col("__hit") if mode == "overwrite" else F.col("__hit") & old.isNull()
-        new = F.col(f"__new_{field.name}").cast(field.dataType)
-        return F.when(hit, new).otherwise(old).alias(field.name)
-
-    return master.join(news, key, "left").select(*map(patched, master.schema))
+    hit = f"coalesce(__found AND ({where}), false)" if where else "__found IS NOT NULL"
+    joined = master.join(news, key, "left").withColumn("__hit", F.expr(hit))
+    free = " AND {} IS NULL" if mode == "fill_null" else ""
+    patched = joined.withColumns(
+        {
+            c: F.expr(f"CASE WHEN __hit{free.format(c)} THEN __new_{c} ELSE {c} END")
+            for c in columns
+        }
+    ).drop("__found", *(f"__new_{c}" for c in columns))
+    return patched.withColumnRenamed("__hit", flag) if flag else patched.drop("__hit")
 
 
 def append_new(master: DataFrame, rows: DataFrame, key: str) -> DataFrame:

@@ -7,22 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-Rung = tuple[str, Column]
-
-
-def _first(rungs: Sequence[Rung], values: Sequence, default) -> Column:
-    (_, condition), *others = rungs
-    out = F.when(condition, F.lit(values[0]))
-    for (_, condition), value in zip(others, values[1:]):
-        out = out.when(condition, F.lit(value))
-    return out.otherwise(F.lit(default))
+Rung = tuple[str, str]
 
 
 def first_match(rungs: Sequence[Rung], default: str | None = None) -> Column:
-    """Label of the first rung whose condition is true."""
-    return _first(rungs, [label for label, _ in rungs], default)
-
-
-def rung_number(rungs: Sequence[Rung]) -> Column:
-    """Position, from 1, of the first rung whose condition is true."""
-    return _first(rungs, range(1, len(rungs) + 1), None)
+    """Label of the first rung whose condition, a SQL expression, is true."""
+    cases = " ".join(f"WHEN {condition} THEN '{label}'" for label, condition in rungs)
+    otherwise = "NULL" if default is None else f"'{default}'"
+    return F.expr(f"CASE {cases} ELSE {otherwise} END")

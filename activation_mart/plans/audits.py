@@ -9,7 +9,7 @@ from .. import config
 from ..functions import address_verified, ci_eq, hour_boundaries
 from ..operators import duplicates
 from ..sources import Sources
-from .online import all_failures, failure_facts, is_approved, online_steps
+from .online import IS_APPROVED, all_failures, failure_facts, online_steps
 
 
 def failure_report(accounts: DataFrame, src: Sources, bank: int) -> DataFrame:
@@ -77,5 +77,5 @@ def exceptions(master: DataFrame) -> DataFrame:
 def failed_then_approved(accounts: DataFrame, src: Sources) -> DataFrame:
     """Failures of accounts that are approved by now."""
     return all_failures(accounts, src).join(
-        accounts.filter(is_approved()).select("AccountKey"), "AccountKey", "left_semi"
+        accounts.filter(IS_APPROVED).select("AccountKey"), "AccountKey", "left_semi"
     )

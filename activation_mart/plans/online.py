@@ -135,29 +135,28 @@ def failure_flags(src: Sources, only: DataFrame | None = None) -> DataFrame:
     )
 
 
-def is_approved() -> Column:
-    return ci_eq("VerificationStatusType", config.APPROVED) & F.col("CardActivationDate").isNotNull()
+IS_APPROVED = (
+    f"lower(rtrim(VerificationStatusType)) = '{config.APPROVED.lower()}' "
+    "AND CardActivationDate IS NOT NULL"
+)
 
 
 def online_step(default: str | None = "Incomplete") -> Column:
-    """Step of an online account from its failure and quiz flags."""
-
-    def flag(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit(False))
+    """Step of an online account from its failure and quiz flags, NULL flags meaning no.
 
-    checked = F.col("LastIdentityValidationKey").isNotNull()
-    quiz_failed = checked & flag("quiz_failed")
-    negative = (
-        flag("failed_negative") | flag("failed_fraud") | (flag("failed_verification") & ~checked)
-    )
+    A failed quiz stands for all failures of the account.
+    """
+    checked = "LastIdentityValidationKey IS NOT NULL"
+    quiz_failed = f"({checked} AND coalesce(quiz_failed, false))"
+    other = f"NOT {quiz_failed} AND"
     return first_match(
         [
-            ("Approved", is_approved()),
-            ("Ident_Verify", flag("failed_verification") & checked & ~quiz_failed),
-            ("Addr_Verify", flag("failed_address") & ~quiz_failed),
-            ("Card_Limit", flag("failed_limit") & ~quiz_failed),
-            ("OOW", quiz_failed | flag("failed_oow")),
-            ("Neg_Match", negative & ~quiz_failed),
+            ("Approved", IS_APPROVED),
+            ("Ident_Verify", f"{other} failed_verification AND {checked}"),
+            ("Addr_Verify", f"{other} failed_address"),
+            ("Card_Limit", f"{other} failed_limit"),
+            ("OOW", f"{quiz_failed} OR failed_oow"),
+            ("Neg_Match", f"{other} (failed_negative OR failed_fraud OR failed_verification)"),
         ],
         default,
     )

@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions import has_all, month_boundaries
-from ..functions.text import folded
+from ..functions import month_boundaries
 from ..operators import SPREAD, first_match, left_lookup, only_keys, set_where, with_spread
 from ..operators.waterfall import Rung
 from ..sources import Sources
 from .checks import failed_quiz_rows, with_check_facts
-from .online import is_approved
+from .online import IS_APPROVED
 
 TRACKER = "ACTIVATION_TRACKER"
 
@@ -69,47 +68,46 @@ def refund_flags(src: Sources, only: DataFrame | None = None) -> DataFrame:
     )
 
 
-def is_complete() -> Column:
-    """Own or parent's data present for each required field."""
-    return (
-        (F.col("has_first_name") | F.col("has_parent_first_name"))
-        & (F.col("has_last_name") | F.col("has_parent_last_name"))
-        & (F.col("DOB").isNotNull() | F.col("has_parent_dob"))
-        & (F.col("has_ssn") | F.col("has_parent_ssn"))
-        & has_all([("CellPhone", "HomePhone"), ("ResidentialAddress1",), ("ResidentialZipcode",)])
-    )
+HAS_PHONE = "(CellPhone IS NOT NULL OR HomePhone IS NOT NULL)"
+HAS_RESIDENCE = "(ResidentialAddress1 IS NOT NULL AND ResidentialZipcode IS NOT NULL)"
+# Own or parent's data present for each required field.
+IS_COMPLETE = (
+    "((has_first_name OR has_parent_first_name) AND (has_last_name OR has_parent_last_name) "
+    "AND (DOB IS NOT NULL OR has_parent_dob) AND (has_ssn OR has_parent_ssn) "
+    f"AND {HAS_PHONE} AND {HAS_RESIDENCE})"
+)
+HAS_OWN_DATA = (
+    "(has_first_name AND has_last_name AND has_ssn AND DOB IS NOT NULL "
+    f"AND {HAS_PHONE} AND {HAS_RESIDENCE})"
+)
+HAS_PARENT_DATA = (
+    "(has_parent_first_name AND has_parent_last_name AND has_parent_dob AND has_parent_ssn)"
+)
+IS_MINOR = f"age_months < {config.ADULT_MONTHS}"
 
 
-def lacks_information() -> Column:
-    """Own data missing, or a minor whose parent's data is missing."""
-    own = (
-        F.col("has_first_name") & F.col("has_last_name") & F.col("has_ssn")
-        & has_all([("DOB",), ("CellPhone", "HomePhone"), ("ResidentialAddress1",), ("ResidentialZipcode",)])
-    )
-    parent = (
-        F.col("has_parent_first_name") & F.col("has_parent_last_name")
-        & F.col("has_parent_dob") & F.col("has_parent_ssn")
-    )
-    return ~own | (~parent & (F.col("age_months") < config.ADULT_MONTHS))
+def _among(column: str, keys) -> str:
+    return f"{column} IN ({', '.join(map(str, keys))})"
 
 
-def retail_rungs(negative_refund: Column, limit_refund: Column) -> list[Rung]:
+def retail_rungs(negative_refund: str, limit_refund: str) -> list[Rung]:
     """The retail ladder; the refund tests differ between refund rows and per-customer flags."""
-    status = F.col("activationstatuskey")
+    status = "activationstatuskey"
     return [
-        ("Missing_Info", lacks_information()),
-        ("Incomplete", ~is_complete()),
-        ("Approved", is_approved()),
-        ("Neg_Match", status.isin(*config.NEGATIVE_STATUS_KEYS) | negative_refund),
-        ("Card_Limit", status.isin(*config.LIMIT_STATUS_KEYS) | limit_refund),
-        ("Ident_Verify", folded("VerificationStatusType") != config.APPROVED.lower()),
+        ("Missing_Info", f"NOT {HAS_OWN_DATA} OR (NOT {HAS_PARENT_DATA} AND {IS_MINOR})"),
+        ("Incomplete", f"NOT {IS_COMPLETE}"),
+        ("Approved", IS_APPROVED),
+        ("Neg_Match", f"{_among(status, config.NEGATIVE_STATUS_KEYS)} OR {negative_refund}"),
+        ("Card_Limit", f"{_among(status, config.LIMIT_STATUS_KEYS)} OR {limit_refund}"),
+        ("Ident_Verify", f"lower(rtrim(VerificationStatusType)) <> '{config.APPROVED.lower()}'"),
     ]
 
 
 def retail_waterfall(candidates: DataFrame) -> DataFrame:
     """Tracker of each candidate row; NULL where no rung holds."""
-    reason = F.col("refundreasonkey")
-    rungs = retail_rungs(reason == config.NEGATIVE_REFUND, reason == config.LIMIT_REFUND)
+    rungs = retail_rungs(
+        f"refundreasonkey = {config.NEGATIVE_REFUND}", f"refundreasonkey = {config.LIMIT_REFUND}"
+    )
     return candidates.withColumn(TRACKER, first_match(rungs))
 
 
@@ -132,13 +130,13 @@ def retail_step() -> Column:
     after the quiz override, without making these rows: the override needs a
     refund row (or none at all) that leaves the account at Ident_Verify.
     """
-    negative = F.coalesce("refund_negative", F.lit(False))
-    limit = F.coalesce("refund_limit", F.lit(False))
-    plain_row = F.coalesce("refund_other", F.lit(True))
-    without_refunds = first_match(retail_rungs(F.lit(False), F.lit(False)))
-    quiz_failed = F.coalesce(F.col("quiz_failed"), F.lit(False))
-    overridden = plain_row & (without_refunds == "Ident_Verify") & quiz_failed
-    return F.when(overridden, "OOW").otherwise(first_match(retail_rungs(negative, limit)))
+    plain_row_step = first_match(retail_rungs("false", "false"))
+    overridden = F.expr("coalesce(refund_other, true) AND quiz_failed") & (
+        plain_row_step == "Ident_Verify"
+    )
+    return F.when(overridden, "OOW").otherwise(
+        first_match(retail_rungs("refund_negative", "refund_limit"))
+    )
 
 
 def retail_steps(accounts: DataFrame, src: Sources) -> DataFrame:

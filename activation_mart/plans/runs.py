@@ -11,6 +11,7 @@ from ..operators import (
     add_column,
     apply_inner,
     apply_left,
+    keyed_patch,
     left_lookup,
     small_keys,
     with_surrogate_key,
@@ -99,24 +100,25 @@ def classify(
         [customers, refund_flags(src, cards), failure_flags(src, cards)],
         "VCustomerkey", "CustomerKey", "AccountKey",
     )
-    step, tag = F.col(config.STEP_COLUMN), F.col("LastAttemptValue")
-    publish_online = F.col("__online") & step.isNull() if fill_online else F.col("__online")
+    step = F.col(config.STEP_COLUMN)
+    publish_online = F.expr("__online AND Activation_step IS NULL" if fill_online else "__online")
     stepped = facts.withColumn(
         config.STEP_COLUMN,
         F.when(publish_online, online_step())
-        .when(F.col("__retail") & F.col("customer_found"), retail_step())
+        .when(F.expr("__retail AND customer_found"), retail_step())
         .otherwise(step),
     )
-    internal_hit = (
-        F.col("__internal") & may_be_internal() & F.col("internal_check")
+    tagged = (
+        F.expr("__internal AND internal_check")
+        & may_be_internal()
         & ci_eq("VerificationStatusType", config.APPROVED)
     )
     return stepped.withColumns(
         {
-            config.QUIZ_COLUMN: F.when(
-                F.col("__quiz") & F.col("quiz_taken"), F.col("quiz_result")
-            ).otherwise(F.col(config.QUIZ_COLUMN)),
-            "LastAttemptValue": F.when(internal_hit, config.INTERNAL_TAG).otherwise(tag),
+            config.QUIZ_COLUMN: F.expr("CASE WHEN __quiz AND quiz_taken THEN quiz_result ELSE OOW END"),
+            "LastAttemptValue": F.when(tagged, config.INTERNAL_TAG).otherwise(
+                F.col("LastAttemptValue")
+            ),
         }
     ).select(*accounts.columns)
 
@@ -193,11 +195,8 @@ def run_update(
     untouched = held.join(changes, "AccountKey", "left_anti")
 
     checked = _patch_checks(touched, changes, src, cfg)
-    blocked = _patch_found(
-        checked,
-        block_per_account(src, customers=ratings, cfg=cfg),
-        BLOCK_PATCH_COLUMNS,
-    )
+    blocks = block_per_account(src, customers=ratings, cfg=cfg)
+    blocked = keyed_patch(checked, blocks, "AccountKey", BLOCK_PATCH_COLUMNS)
     balanced = settle(_patch_balances(blocked, src), "changed-master")
     rechecked = F.col("__rechecked")
     classified = classify(
@@ -212,32 +211,14 @@ def run_update(
     return untouched.unionByName(classified.select(*master.columns))
 
 
-def _patch_found(
-    accounts: DataFrame, patch: DataFrame, columns, when: Column | None = None, flag: str | None = None
-) -> DataFrame:
-    """Overwrite ``columns`` from a one-row-per-account patch; ``flag`` names a column telling where."""
-    news = patch.select(
-        "AccountKey", F.lit(True).alias("__found"), *(F.col(c).alias(f"__new_{c}") for c in columns)
-    )
-    joined = accounts.join(news, "AccountKey", "left")
-    found = F.col("__found") if when is None else F.col("__found") & when
-    hit = F.coalesce(found, F.lit(False))
-    out = joined.withColumns(
-        {c: F.when(hit, F.col(f"__new_{c}")).otherwise(F.col(c)) for c in columns}
-    )
-    if flag:
-        out = out.withColumn(flag, hit)
-    return out.drop("__found", *(f"__new_{c}" for c in columns))
-
-
 def _patch_checks(
     accounts: DataFrame, changes: DataFrame, src: Sources, cfg: config.MartConfig
 ) -> DataFrame:
     fresh = apply_inner(
         latest_check(src, changes), card_resolution(src, cfg, changes), "AccountKey"
     )
-    return _patch_found(
-        accounts, fresh, CHECK_PATCH_COLUMNS, F.col("check_changed"), flag="__rechecked"
+    return keyed_patch(
+        accounts, fresh, "AccountKey", CHECK_PATCH_COLUMNS, where="check_changed", flag="__rechecked"
     )
 
 
@@ -245,18 +226,17 @@ def _patch_balances(accounts: DataFrame, src: Sources) -> DataFrame:
     """Both cards must exist, otherwise neither is refreshed."""
     out = accounts
     for role in ("P", "T"):
-        cards = card_balances(src).select(
-            "CustomerKey",
-            F.lit(True).alias(f"__{role}"),
-            F.col("CreditRatingKey").alias(f"__{role}_rating"),
-            F.col("CurrBalance").alias(f"__{role}_balance"),
+        cards = card_balances(src).selectExpr(
+            "CustomerKey", f"true AS __{role}",
+            f"CreditRatingKey AS __{role}_rating", f"CurrBalance AS __{role}_balance",
         )
         out = left_lookup(out, [cards], f"{role}Customerkey", "CustomerKey", "AccountKey")
-    hit = F.col("status_changed") & F.col("__P") & F.col("__T")
-    patched = {}
-    for role in ("P", "T"):
-        rating, balance = f"{role}CreditRatingkey", f"{role}CurrBalance"
-        patched[rating] = F.when(hit, F.col(f"__{role}_rating")).otherwise(F.col(rating))
-        patched[balance] = F.when(hit, F.col(f"__{role}_balance")).otherwise(F.col(balance))
+    patched = {
+        f"{role}{column}": F.expr(
+            f"CASE WHEN status_changed AND __P AND __T THEN __{role}_{part} ELSE {role}{column} END"
+        )
+        for role in ("P", "T")
+        for column, part in (("CreditRatingkey", "rating"), ("CurrBalance", "balance"))
+    }
     added = [f"__{role}{part}" for role in ("P", "T") for part in ("", "_rating", "_balance")]
     return out.withColumns(patched).drop(*added)

@@ -16,7 +16,28 @@ from .. import config
 from ..functions import RunWindow
 from .registry import Sources
 
-RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+# Given, so that opening a table does not cost a job to read its schema.
+RAW_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
 
 CONFIG = config.MartConfig(
     test_accounts=config.TestAccountRules(
@@ -221,7 +242,8 @@ class StandinTables:
                 tables = {table: self[table] for table in needs(name)}
                 self._frames[name] = self.spark.sql(STANDINS[name], **tables)
             else:
-                self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                reader = self.spark.read.schema(RAW_SCHEMAS[name])
+                self._frames[name] = reader.parquet(f"{self.folder}/{name}.parquet")
         return self._frames[name]
 
     @property
