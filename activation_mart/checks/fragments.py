@@ -262,7 +262,11 @@ FRAGMENTS["x_internal"] = """
     JOIN src_identity_validation_vendor v USING (IdentityValidationVendorKey)
     WHERE IdentityValidationVendorKey = 4 AND IdentityValidationStatusTypeKey = 1"""
 
-FRAGMENTS["x_open_online"] = "SELECT * FROM src_account_master WHERE Activation_step IS NULL"
+FRAGMENTS["x_address"] = """
+    SELECT *, row_number() OVER (PARTITION BY AccountKey, addressTypekey
+        ORDER BY CreateDate DESC, AddressStandardizationResultKey DESC) AS rn
+    FROM src_account_address"""
+
 FRAGMENTS["x_report_accounts"] = f"SELECT * FROM src_account_master WHERE BankKey = {REPORT_BANK}"
 classification("held", "src_account_master")
 classification("report", "x_report_accounts")

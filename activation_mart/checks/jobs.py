@@ -112,7 +112,7 @@ def _(t):
 
 @check("d07_assemble_master", f"SELECT {MASTER} FROM x_rows_add")
 def _(t):
-    signups = latest_signup(new_only(account_extract(t.sources, ADD_WINDOW, CONFIG), t.master))
+    signups = new_only(latest_signup(account_extract(t.sources, ADD_WINDOW, CONFIG)), t.master)
     rows = assemble(signups, t.sources, ADD_WINDOW, CONFIG, restrict=True)
     return rows.select(*config.MASTER_COLUMNS)
 
@@ -332,10 +332,10 @@ def _(t):
                 WHEN r1.MatchLevel IS NULL AND r2.MatchLevel IS NULL THEN 'VERIFIED' END AS qas,
            date_diff('hour', a1.CreateDate, a2.CreateDate) AS hours_between
        FROM (SELECT AccountKey FROM x_held_tracked WHERE ACTIVATION_TRACKER IS NULL) c
-       LEFT JOIN src_account_address a1 ON a1.AccountKey = c.AccountKey AND a1.addressTypekey = 2
+       LEFT JOIN x_address a1 ON a1.AccountKey = c.AccountKey AND a1.addressTypekey = 2 AND a1.rn = 1
        LEFT JOIN src_address_result r1
          ON r1.AddressStandardizationResultKey = a1.AddressStandardizationResultKey
-       LEFT JOIN src_account_address a2 ON a2.AccountKey = c.AccountKey AND a2.addressTypekey = 1
+       LEFT JOIN x_address a2 ON a2.AccountKey = c.AccountKey AND a2.addressTypekey = 1 AND a2.rn = 1
        LEFT JOIN src_address_result r2
          ON r2.AddressStandardizationResultKey = a2.AddressStandardizationResultKey""",
 )

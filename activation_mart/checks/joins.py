@@ -100,7 +100,7 @@ def _(t):
     return (
         t.sources["customer"]
         .select("CustomerKey", "CreateDate")
-        .join(t.sources["refund"], "CustomerKey", "left_anti")
+        .join(t.sources["refund"].select("CustomerKey").distinct(), "CustomerKey", "left_anti")
     )
 
 
@@ -140,7 +140,7 @@ def _(t):
     return (
         t.sources["rating_history"]
         .select("CustomerKey", "ChangeDate", "CreditRatingKey")
-        .join(t.sources["refund"].select("CustomerKey"), "CustomerKey", "left_semi")
+        .join(t.sources["refund"].select("CustomerKey").distinct(), "CustomerKey", "left_semi")
     )
 
 
@@ -166,8 +166,8 @@ _SIGNUP_CHECKS = f"{SIGNUP}, LastIdentityValidationKey, VerificationStatusType,
     f"SELECT {_SIGNUP_CHECKS} FROM x_signup_add LEFT JOIN x_check USING (AccountKey)",
 )
 def _(t):
-    signups = latest_signup(
-        new_only(account_extract(t.sources, ADD_WINDOW, CONFIG), t.master)
+    signups = new_only(
+        latest_signup(account_extract(t.sources, ADD_WINDOW, CONFIG)), t.master
     )
     return apply_left(signups, latest_check(t.sources), "AccountKey").select(
         *_SIGNUP_CHECKS.split(", ")

@@ -11,16 +11,46 @@ from pyspark.sql import functions as F
 def with_attempt(df: DataFrame, key: str, moment: str, name: str = "attempt") -> DataFrame:
     """Number the moments of each key from the latest backwards; equal moments share a number.
 
-    A filter on ``name`` placed on top is pushed below the shuffle as a group
-    limit, so each task sends only its own latest rows of a hot key.
+    Moments are ranked within key and day, and the number of distinct moments on
+    later days is added, so that no task has to rank all rows of a hot key. Rows
+    without a key form a group of their own, rows without a moment come last.
     """
-    order = Window.partitionBy(key).orderBy(F.col(moment).desc())
-    return df.withColumn(name, F.dense_rank().over(order))
+    key_type = df.schema[key].dataType.simpleString()
+    group = ["__key", "__no_key", "__day"]
+    days = df.withColumns(
+        {
+            "__key": F.expr(f"coalesce({key}, CAST('0' AS {key_type}))"),
+            "__no_key": F.col(key).isNull(),
+            "__day": F.expr(f"coalesce(CAST({moment} AS DATE), DATE '0001-01-01')"),
+        }
+    )
+    on_day = Window.partitionBy(*group).orderBy(F.col(moment).desc())
+    later = (
+        Window.partitionBy("__key", "__no_key")
+        .orderBy(F.col("__day").desc())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = (
+        days.select(*group, moment)
+        .distinct()
+        .groupBy(*group)
+        .agg(F.count(F.lit(1)).alias("__moments"))
+        .select(*group, F.coalesce(F.sum("__moments").over(later), F.lit(0)).alias("__later"))
+    )
+    ranked = days.withColumn("__rank", F.dense_rank().over(on_day))
+    number = (F.col("__rank") + F.col("__later")).cast("int")
+    return ranked.join(offsets, group).select(*df.columns, number.alias(name))
 
 
 def latest_with_ties(df: DataFrame, key: str, moment: str) -> DataFrame:
-    """All rows of each key that carry its latest moment."""
-    return with_attempt(df, key, moment, "__attempt").filter("__attempt = 1").drop("__attempt")
+    """All rows of each key that carry its latest moment.
+
+    The filter on the rank becomes a group limit on both sides of the shuffle,
+    so each task sends only its own latest rows of a hot key.
+    """
+    order = Window.partitionBy(key).orderBy(F.col(moment).desc())
+    ranked = df.withColumn("__attempt", F.dense_rank().over(order))
+    return ranked.filter("__attempt = 1").drop("__attempt")
 
 
 def latest_one(df: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:

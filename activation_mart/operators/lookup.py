@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NULL_SPREAD = 1024
@@ -32,6 +32,12 @@ def with_spread(facts: DataFrame, key: str) -> DataFrame:
     return facts.withColumn(SPREAD, F.expr(f"pmod(hash({key}), 1)"))
 
 
+def _spread_of_nulls(key: str, spread_by: str) -> Column:
+    return F.expr(
+        f"CASE WHEN {key} IS NULL THEN pmod(hash({spread_by}), {NULL_SPREAD}) ELSE 0 END"
+    )
+
+
 def left_lookup(
     left: DataFrame, facts: Sequence[DataFrame], key: str, fact_key: str, spread_by: str
 ) -> DataFrame:
@@ -42,8 +48,7 @@ def left_lookup(
     column; all other rows, and the facts, have 0 there. The frames share one
     shuffle of ``left``.
     """
-    spread = f"CASE WHEN {key} IS NULL THEN pmod(hash({spread_by}), {NULL_SPREAD}) ELSE 0 END"
-    out = left.withColumn("__left_spread", F.expr(spread))
+    out = left.withColumn("__left_spread", _spread_of_nulls(key, spread_by))
     match = F.expr(f"{key} = __fact_key AND __left_spread = {SPREAD}")
     for fact in facts:
         keyed = fact if SPREAD in fact.columns else with_spread(fact, fact_key)
@@ -75,7 +80,16 @@ def null_aware_anti(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     keys = right.select(F.col(key).alias("__key"))
     rows = keys.agg(F.count(F.lit(1))).scalar()
     nulls = keys.agg(F.count_if(F.col("__key").isNull())).scalar()
-    unmatched = left.join(keys, F.col(key) == F.col("__key"), "left_anti")
+    spread = _spread_of_nulls(key, f"struct({', '.join(left.columns)})")
+    unmatched = (
+        left.withColumn("__left_spread", spread)
+        .join(
+            with_spread(keys, "__key").distinct(),
+            F.expr(f"{key} = __key AND __left_spread = {SPREAD}"),
+            "left_anti",
+        )
+        .drop("__left_spread")
+    )
     return unmatched.filter((rows == 0) | ((nulls == 0) & F.col(key).isNotNull()))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import address_verified, ci_eq, hour_boundaries
-from ..operators import duplicates
+from ..operators import duplicates, latest_one
 from ..sources import Sources
 from .online import IS_APPROVED, all_failures, failure_facts, online_steps
 
@@ -38,13 +38,18 @@ def duplicate_audit(rows: DataFrame, src: Sources) -> DataFrame:
 
 
 def address_check(accounts: DataFrame, src: Sources) -> DataFrame:
-    """Results of both address checks of accounts, the verdict and the hours between them."""
+    """Latest check of both addresses of accounts, the verdict and the hours between them."""
     out = accounts
     for name, kind in (("qas_1", config.RESIDENTIAL_ADDRESS), ("qas_2", config.MAILING_ADDRESS)):
-        checks = (
+        latest = latest_one(
             src["account_address"]
             .filter(F.col("addressTypekey") == kind)
-            .join(src["address_result"], "AddressStandardizationResultKey", "left")
+            .select("AccountKey", "CreateDate", "AddressStandardizationResultKey"),
+            "AccountKey",
+            ["CreateDate", "AddressStandardizationResultKey"],
+        )
+        checks = (
+            latest.join(src["address_result"], "AddressStandardizationResultKey", "left")
             .select(
                 "AccountKey",
                 F.col("MatchLevel").alias(name),

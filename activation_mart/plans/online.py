@@ -17,7 +17,7 @@ from ..operators import (
     with_spread,
 )
 from ..sources import Sources, activity_type_order
-from .checks import failed_quiz_rows, with_check_facts
+from .checks import with_check_facts
 
 FAILURE_COLUMNS = (
     "Month_Year", "ActicationActivityOrder", "activityDesc", "CustomerKey", "AccountKey",
@@ -96,20 +96,18 @@ def reclassified_failures(accounts: DataFrame, src: Sources, distinct: bool = Fa
 
 def all_failures(accounts: DataFrame, src: Sources) -> DataFrame:
     """Failures of accounts without a failed quiz, and one quiz row per account with one."""
-    checked = accounts.filter(F.col("LastIdentityValidationKey").isNotNull())
-    failed = failed_quiz_rows(
-        checked.select("AccountKey", "LastIdentityValidationKey", "CreateDate", "VCustomerkey"), src
-    ).select(
+    columns = ("AccountKey", "VCustomerkey", "LastIdentityValidationKey", "CreateDate")
+    checked = with_check_facts(accounts.select(*columns), src)
+    quiz_failed = F.coalesce(F.col("quiz_failed"), F.lit(False))
+    failed = checked.filter(quiz_failed).select(
         month_year("CreateDate").alias("Month_Year"),
         F.lit(config.QUIZ_FAILURE_ORDER).alias("ActicationActivityOrder"),
         F.lit(config.QUIZ_FAILURE_TEXT).alias("activityDesc"),
         F.col("VCustomerkey").alias("CustomerKey"),
         "AccountKey",
     )
-    others = reclassified_failures(accounts, src, distinct=True).join(
-        failed.select("AccountKey"), "AccountKey", "left_anti"
-    )
-    return union_distinct(others.select(*FAILURE_COLUMNS), failed)
+    others = reclassified_failures(checked.filter(~quiz_failed), src, distinct=True)
+    return union_distinct(others, failed)
 
 
 def failure_flags(src: Sources, only: DataFrame | None = None) -> DataFrame:

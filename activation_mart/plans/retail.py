@@ -10,7 +10,7 @@ from ..functions import month_boundaries
 from ..operators import SPREAD, first_match, left_lookup, only_keys, set_where, with_spread
 from ..operators.waterfall import Rung
 from ..sources import Sources
-from .checks import failed_quiz_rows, with_check_facts
+from .checks import with_check_facts
 from .online import IS_APPROVED
 
 TRACKER = "ACTIVATION_TRACKER"
@@ -37,22 +37,26 @@ def retail_customers(src: Sources, only: DataFrame | None = None) -> DataFrame:
 def retail_candidates(accounts: DataFrame, src: Sources) -> DataFrame:
     """Retail accounts with their customer, status and refunds: one row per refund, at least one.
 
-    Each account meets one customer; where that customer has very many refunds
-    the adaptive skew join splits them.
+    Refunds meet their account in an inner join, which the adaptive skew join
+    can split where one customer has very many; a left join could not be split
+    on that side. Accounts without refunds are added.
     """
     customers = retail_customers(src).withColumnRenamed("CustomerKey", "VCustomerkey")
     refunds = src["refund"].select(
         F.col("CustomerKey").alias("VCustomerkey"), "refundreasonkey", "comment"
     )
     years = F.lit(12).cast("decimal(3,1)")
-    return (
+    known = (
         accounts.join(customers, "VCustomerkey")
         .join(src["activation_status"], "activationstatuskey", "left")
-        .join(refunds, "VCustomerkey", "left")
-        .join(src["refund_reason"], "refundreasonkey", "left")
         .withColumn("CH_Age", (F.col("age_months") / years).cast("decimal(17,6)"))
         .withColumn("Parent_Age", (F.col("parent_age_months") / years).cast("decimal(17,6)"))
     )
+    refunded = known.join(refunds, "VCustomerkey").join(
+        src["refund_reason"], "refundreasonkey", "left"
+    )
+    others = known.join(refunds.select("VCustomerkey").distinct(), "VCustomerkey", "left_anti")
+    return refunded.unionByName(others, allowMissingColumns=True)
 
 
 def refund_flags(src: Sources, only: DataFrame | None = None) -> DataFrame:
@@ -115,9 +119,9 @@ def retail_quiz_override(tracked: DataFrame, src: Sources) -> DataFrame:
     """All rows of an account become OOW if one of them is Ident_Verify with a failed quiz."""
     unverified = tracked.filter(F.col(TRACKER) == "Ident_Verify")
     failed = (
-        failed_quiz_rows(unverified.select("AccountKey", "LastIdentityValidationKey").distinct(), src)
+        with_check_facts(unverified.select("AccountKey", "LastIdentityValidationKey").distinct(), src)
+        .filter("quiz_failed")
         .select("AccountKey", F.lit(True).alias("__failed"))
-        .distinct()
     )
     marked = tracked.join(failed, "AccountKey", "left")
     return set_where(marked, TRACKER, "OOW", F.col("__failed")).drop("__failed")

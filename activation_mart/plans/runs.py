@@ -62,9 +62,12 @@ def build_initial(
     block_window: RunWindow | None = None,
     cfg: config.MartConfig = config.DEFAULT_CONFIG,
 ) -> DataFrame:
-    """First master, numbered by account; the block window may differ from the sign-up window."""
+    """First master, numbered by account; the block window may differ from the sign-up window.
+
+    One row per account by construction, hence no pass to remove equal rows.
+    """
     signups = latest_signup(account_extract(src, window, cfg))
-    rows = assemble(signups, src, block_window or window, cfg).distinct()
+    rows = assemble(signups, src, block_window or window, cfg)
     return with_surrogate_key(rows, config.SURROGATE_COLUMN, ["AccountKey"])
 
 
@@ -151,7 +154,7 @@ def run_add(
     Only new accounts, accounts of the window and unclassified online accounts
     are looked up; all others pass from scan to result without a shuffle.
     """
-    signups = settle(latest_signup(new_only(account_extract(src, window, cfg), master)), "signups")
+    signups = settle(new_only(latest_signup(account_extract(src, window, cfg)), master), "signups")
     rows = assemble(signups, src, window, cfg, restrict=True)
     if config.SURROGATE_COLUMN in master.columns:
         last = master.agg(F.max(config.SURROGATE_COLUMN)).first()[0] or 0

@@ -174,11 +174,11 @@ STANDINS: dict[str, str] = {
         SELECT n_nationkey * 5 + 25 AS activationstatuskey, 'Status ' || n_name AS activationstatus
         FROM {nation}""",
     "src_account_address": """
-        SELECT c_custkey * 4 + 1 AS AccountKey,
+        SELECT o_custkey * 4 + 1 AS AccountKey,
             CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END AS addressTypekey,
             o_orderkey AS AddressStandardizationResultKey,
             o_orderdate + INTERVAL '90' MINUTE AS CreateDate
-        FROM {customer} JOIN {orders} ON o_custkey = c_custkey WHERE o_orderstatus <> 'O'""",
+        FROM {orders} WHERE o_orderstatus <> 'O'""",
     "src_address_result": """
         SELECT o_orderkey AS AddressStandardizationResultKey,
             CASE o_orderkey % 5 WHEN 0 THEN 'Verified' WHEN 1 THEN 'verified' WHEN 2 THEN 'Street'
@@ -199,7 +199,7 @@ STANDINS: dict[str, str] = {
             CASE WHEN c.CustomerKey % 9 <> 0 THEN c.CustomerKey END AS TCustomerkey,
             CASE WHEN c.CustomerKey % 9 <> 0 THEN 'A1' END AS TCreditRatingkey,
             CASE WHEN c.CustomerKey % 9 <> 0 THEN CAST(0 AS DECIMAL(19,4)) END AS TCurrBalance,
-            CASE WHEN c.CustomerKey % 4 <> 0 THEN c.FirstKey END AS PCustomerkey,
+            CASE WHEN c.CustomerKey % 4 <> 0 THEN f.FirstKey END AS PCustomerkey,
             CASE WHEN c.CustomerKey % 4 <> 0 THEN 'A1' END AS PCreditRatingkey,
             CASE WHEN c.CustomerKey % 4 <> 0 THEN CAST(0 AS DECIMAL(19,4)) END AS PCurrBalance,
             CASE WHEN c.CustomerKey % 47 <> 0 THEN c.CustomerKey END AS VCustomerkey,
@@ -211,11 +211,15 @@ STANDINS: dict[str, str] = {
             CASE WHEN c.CustomerKey % 18 = 0 THEN 'accept' END AS OOW
         FROM (
             SELECT s.*,
-                row_number() OVER (PARTITION BY AccountKey ORDER BY CreateDate DESC, CustomerKey DESC) AS rn,
-                min(CustomerKey) OVER (PARTITION BY AccountKey) AS FirstKey
+                row_number() OVER (PARTITION BY AccountKey ORDER BY CreateDate DESC, CustomerKey DESC) AS rn
             FROM {src_customer} s
             WHERE AccountKey IS NOT NULL AND CreateDate < TIMESTAMP_NTZ '1999-01-01 00:00:00'
         ) c
+        JOIN (
+            SELECT AccountKey, min(CustomerKey) AS FirstKey FROM {src_customer}
+            WHERE AccountKey IS NOT NULL AND CreateDate < TIMESTAMP_NTZ '1999-01-01 00:00:00'
+            GROUP BY AccountKey
+        ) f ON f.AccountKey = c.AccountKey
         JOIN {src_product} p ON p.ProductKey = c.ProductKey
         JOIN {src_bank} b ON b.BankKey = p.BankKey
         LEFT JOIN {src_identity_validation} v ON v.IdentityValidationKey = c.CustomerKey + 1000000

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,9 +42,18 @@ def test_latest_with_and_without_ties(spark):
     )
     assert tuples(latest_with_ties(df, "k", "t"), "k", "v") == [(1, "a"), (1, "b"), (2, "e"), (3, "f")]
     assert tuples(latest_one(df, "k", ["t", "v"]), "k", "v") == [(1, "b"), (2, "e"), (3, "f")]
-    assert tuples(with_attempt(df, "k", "t").filter("k = 1"), "v", "attempt") == [
-        ("a", 1), ("b", 1), ("c", 2),
-    ]
+
+
+def test_attempts_over_days_without_keys_and_moments(spark):
+    at = datetime(2012, 5, 1, 12)
+    moments = [at, at, at - timedelta(hours=1), at - timedelta(days=3), at - timedelta(days=4), None]
+    rows = [(k, t) for k in (0, 1, None) for t in moments]
+    df = spark.createDataFrame(rows, "k int, t timestamp_ntz")
+    expected = [1, 1, 2, 3, 4, 5]
+    for k in ("k = 0", "k = 1", "k IS NULL"):
+        out = with_attempt(df, "k", "t").filter(k).orderBy("attempt").collect()
+        assert [row["attempt"] for row in out] == expected
+        assert [row["t"] for row in out] == moments
 
 
 def test_rows_at_latest_keeps_ties_and_other_codes(spark):
