@@ -39,12 +39,24 @@ def _accounts_of(src: Sources, changes: DataFrame, key: str) -> DataFrame:
     return customers.filter("AccountKey is not null").join(changes.distinct(), key, "left_semi")
 
 
-def changed_accounts(checks: DataFrame, ratings: DataFrame, status: DataFrame) -> DataFrame:
+def all_changes(src: Sources, window: RunWindow) -> DataFrame:
+    """The three kinds of change in one frame; only rating changes tell the customer."""
+    kinds = {
+        "check_changed": changed_checks(src, window),
+        "rating_changed": changed_ratings(src, window),
+        "status_changed": changed_status(src, window),
+    }
+    frames = [
+        accounts.select(*accounts.columns, *(F.lit(kind == name).alias(name) for name in kinds))
+        for kind, accounts in kinds.items()
+    ]
+    checks, ratings, status = frames
+    return ratings.unionByName(checks, allowMissingColumns=True).unionByName(
+        status, allowMissingColumns=True
+    )
+
+
+def changed_accounts(changes: DataFrame) -> DataFrame:
     """One row per changed account, telling which of the changes it had."""
-    kinds = {"check_changed": checks, "rating_changed": ratings, "status_changed": status}
-    labelled = None
-    for kind, accounts in kinds.items():
-        flags = (F.lit(kind == name).alias(name) for name in kinds)
-        rows = accounts.select("AccountKey", *flags)
-        labelled = rows if labelled is None else labelled.unionByName(rows)
-    return labelled.groupBy("AccountKey").agg(*(F.bool_or(name).alias(name) for name in kinds))
+    kinds = ("check_changed", "rating_changed", "status_changed")
+    return changes.groupBy("AccountKey").agg(*(F.bool_or(kind).alias(kind) for kind in kinds))

@@ -20,7 +20,7 @@ from ..session import settle
 from ..sources import Sources
 from .block import block_per_account
 from .cards import card_balances, card_resolution
-from .changes import changed_accounts, changed_checks, changed_ratings, changed_status
+from .changes import all_changes, changed_accounts
 from .checks import may_be_internal, refresh_bank, with_check_facts
 from .extract import account_extract, latest_signup, new_only
 from .identity import latest_check
@@ -188,17 +188,14 @@ def run_update(
     Order matters: checks set the card keys that balances and steps read, and
     may reset the last attempt value before the internal tag is set again.
     """
-    ratings = settle(changed_ratings(src, window), "changed-ratings")
-    changes = settle(
-        changed_accounts(changed_checks(src, window), ratings, changed_status(src, window)),
-        "changed-accounts",
-    )
+    changes = settle(all_changes(src, window), "changes")
     held = master.filter(F.col("AccountKey").isNotNull())
-    touched = held.join(changes, "AccountKey")
+    touched = held.join(changed_accounts(changes), "AccountKey")
     untouched = held.join(changes, "AccountKey", "left_anti")
 
     checked = _patch_checks(touched, changes, src, cfg)
-    blocks = block_per_account(src, customers=ratings, cfg=cfg)
+    rated = changes.filter("rating_changed")
+    blocks = block_per_account(src, customers=rated, cfg=cfg)
     blocked = keyed_patch(checked, blocks, "AccountKey", BLOCK_PATCH_COLUMNS)
     balanced = settle(_patch_balances(blocked, src), "changed-master")
     rechecked = F.col("__rechecked")
@@ -217,8 +214,9 @@ def run_update(
 def _patch_checks(
     accounts: DataFrame, changes: DataFrame, src: Sources, cfg: config.MartConfig
 ) -> DataFrame:
+    rechecked = changes.filter("check_changed")
     fresh = apply_inner(
-        latest_check(src, changes), card_resolution(src, cfg, changes), "AccountKey"
+        latest_check(src, rechecked), card_resolution(src, cfg, rechecked), "AccountKey"
     )
     return keyed_patch(
         accounts, fresh, "AccountKey", CHECK_PATCH_COLUMNS, where="check_changed", flag="__rechecked"
