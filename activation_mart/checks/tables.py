@@ -23,7 +23,8 @@ from ..operators import (
     with_surrogate_key,
 )
 from ..plans import build_initial
-from ..plans.extract import SIGNUP_COLUMNS, account_extract
+from ..plans.extract import SIGNUP_COLUMNS, account_extract, latest_signup
+from ..plans.runs import assemble
 from ..sources import activity_type_order
 from ..sources.standin import ADD_WINDOW, CONFIG, INITIAL_BLOCK_WINDOW, INITIAL_WINDOW
 from .fragments import MASTER, SIGNUP, STEP_COLUMNS, TRUSTED, within
@@ -68,9 +69,6 @@ def _(t):
         UNION ALL SELECT {MASTER}, {STEP_COLUMNS} FROM x_rows_add""",
 )
 def _(t):
-    from ..plans.extract import latest_signup
-    from ..plans.runs import assemble
-
     signups = latest_signup(account_extract(t.sources, ADD_WINDOW, CONFIG))
     return append_new(t.master, assemble(signups, t.sources, ADD_WINDOW, CONFIG), "AccountKey")
 
@@ -265,7 +263,6 @@ def _(t):
          AND ResidentialAddress1 IS NOT NULL AND ResidentialZipcode IS NOT NULL""",
 )
 def _(t):
-    # One type per group: birth dates are dates, everything else text.
     groups = [
         ("FirstName", "ParentFirstName"), ("LastName", "ParentLastName"), ("DOB", "ParentDOB"),
         ("SSN", "ParentSSN"), ("CellPhone", "HomePhone"), ("ResidentialAddress1",),

@@ -14,12 +14,17 @@ KEY = "IdentityValidationKey"
 
 
 def failed_quiz_rows(accounts: DataFrame, src: Sources) -> DataFrame:
-    """Failed quizzes of the accounts' checks; only quizzes with a risk row count."""
+    """Failed quizzes of the accounts' checks; only quizzes with a risk row count.
+
+    One row per quiz: several risk rows of a check do not multiply it, the
+    greatest value is shown.
+    """
     failed = src["quiz"].filter(same_text_in("QuizResultCode", config.FAILED_QUIZ_CODES))
+    risks = src["risk"].groupBy(KEY).agg(F.max("RiskValue").alias("RiskValue"))
     return (
         accounts.withColumnRenamed("LastIdentityValidationKey", KEY)
         .join(failed.select(KEY, "QuizResultCode"), KEY)
-        .join(src["risk"].select(KEY, "RiskValue"), KEY)
+        .join(risks, KEY)
         .withColumnRenamed(KEY, "LastIdentityValidationKey")
     )
 

@@ -9,6 +9,7 @@ from .. import config
 from ..functions import month_boundaries
 from ..operators import SPREAD, first_match, left_lookup, only_keys, set_where, with_spread
 from ..operators.waterfall import Rung
+from ..session import settle
 from ..sources import Sources
 from .checks import with_check_facts
 from .online import IS_APPROVED
@@ -37,20 +38,22 @@ def retail_customers(src: Sources, only: DataFrame | None = None) -> DataFrame:
 def retail_candidates(accounts: DataFrame, src: Sources) -> DataFrame:
     """Retail accounts with their customer, status and refunds: one row per refund, at least one.
 
-    Refunds meet their account in an inner join, which the adaptive skew join
-    can split where one customer has very many; a left join could not be split
-    on that side. Accounts without refunds are added.
+    Refunds meet the settled accounts in an inner join by themselves, which the
+    adaptive skew join can split where one customer has very many; it could not
+    split a left join on that side, nor a join on top of another. Accounts
+    without refunds are added.
     """
     customers = retail_customers(src).withColumnRenamed("CustomerKey", "VCustomerkey")
     refunds = src["refund"].select(
         F.col("CustomerKey").alias("VCustomerkey"), "refundreasonkey", "comment"
     )
     years = F.lit(12).cast("decimal(3,1)")
-    known = (
+    known = settle(
         accounts.join(customers, "VCustomerkey")
         .join(src["activation_status"], "activationstatuskey", "left")
         .withColumn("CH_Age", (F.col("age_months") / years).cast("decimal(17,6)"))
-        .withColumn("Parent_Age", (F.col("parent_age_months") / years).cast("decimal(17,6)"))
+        .withColumn("Parent_Age", (F.col("parent_age_months") / years).cast("decimal(17,6)")),
+        "retail-accounts",
     )
     refunded = known.join(refunds, "VCustomerkey").join(
         src["refund_reason"], "refundreasonkey", "left"

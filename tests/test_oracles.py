@@ -1,4 +1,7 @@
-"""Every registered query against its SQL, on both small scale factors."""
+"""Every registered query against its SQL.
+
+ORACLE_SCALES names the scale factors, e.g. ``sf0.001,sf0.01,sf0.1``.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +13,7 @@ import pytest
 import __spark_entry__ as driver
 
 ROOT = "/root/testdata"
+SCALES = os.environ.get("ORACLE_SCALES", "sf0.01").split(",")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -41,7 +45,7 @@ def test_only_the_unordered_preview_lacks_sql():
     assert set(SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+@pytest.mark.parametrize("scale", SCALES)
 @pytest.mark.parametrize("name", list(SQL))
 def test_matches_sql(spark, duck, name, scale):
     ours = QUERIES[name](spark, f"{ROOT}/{scale}")

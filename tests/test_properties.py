@@ -14,7 +14,7 @@ from activation_mart.functions import RunWindow
 from activation_mart.operators import latest_one, latest_with_ties, rows_at_latest
 from activation_mart.plans import run_add, run_update
 from activation_mart.plans.checks import quiz_facts
-from activation_mart.plans.online import failure_flags, online_steps
+from activation_mart.plans.online import failure_facts, failure_flags, online_steps
 from activation_mart.plans.retail import (
     TRACKER,
     retail_candidates,
@@ -148,6 +148,59 @@ def test_hot_customer_becomes_one_row_of_flags(spark):
     assert by_account(online_steps(w.master(spark), src))[1]["Activation_step"] == "Ident_Verify"
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Adaptive skew join thresholds low enough for a few thousand rows."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512B",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def hot_world():
+    w = World()
+    for i in range(1, 60):
+        w.card(i, i, RETAIL_TEMP if i % 2 else 1)
+        w.held(i, VCustomerkey=i, Channel="Retail" if i % 2 else "Online")
+        w.refund(i, i)
+        w.failure(i, VERIFICATION)
+    for i in range(4000):
+        w.add("refund", CustomerKey=3, refundreasonkey=i, comment=f"refund {i * 7919}")
+        w.failure(2, VERIFICATION, on=DAY + timedelta(days=i * 7919 % 90_000))
+    return w
+
+
+def final_plan(df):
+    execution = df._jdf.queryExecution()
+    rows = len(df.collect())
+    return rows, execution.executedPlan().toString()
+
+
+def test_hot_refunds_are_split(small_splits):
+    w = hot_world()
+    retail = w.master(small_splits).filter("Channel = 'Retail'")
+    rows, plan = final_plan(retail_candidates(retail, w.sources(small_splits)))
+    assert rows == 30 + 4000
+    assert "skew=true" in plan
+
+
+def test_hot_activities_are_split(small_splits):
+    w = hot_world()
+    online = w.master(small_splits).filter("Channel = 'Online'")
+    facts = failure_facts(online, w.sources(small_splits))
+    rows, plan = final_plan(facts)
+    assert rows == 29 + 4000
+    assert "skew=true" in plan
+
+
 def test_many_keys_take_the_way_without_broadcast(spark, monkeypatch):
     w = World()
     for i in range(1, 30):

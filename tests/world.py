@@ -75,10 +75,11 @@ class World:
                  VerificationStatusType=status, LastAttemptValue=attempt)
         self.add("identity_validation_customer", IdentityValidationKey=key, CustomerKey=customer)
 
-    def failure(self, customer: int, kind: int, confirmed: bool = False, channel: int = 2) -> None:
+    def failure(self, customer: int, kind: int, confirmed: bool = False, channel: int = 2,
+                on: datetime = DAY) -> None:
         self.add("activation_activity", CustomerKey=customer, ActivationTypeKey=channel,
                  ActivationActivityTypeKey=kind, IsConfirmed=confirmed,
-                 ActivationActivityCreateDate=DAY)
+                 ActivationActivityCreateDate=on)
 
     def quiz(self, key: int, code: str | None, risk: bool = True) -> None:
         self.add("quiz", IdentityValidationKey=key, QuizResultCode=code)
