@@ -11,6 +11,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from activation_mart import checks
 
 ROOT = "/root/testdata"
 SCALES = os.environ.get("ORACLE_SCALES", "sf0.01").split(",")
@@ -18,7 +19,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = checks.queries(), checks.oracles()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(ROOT), reason="needs the driver's tables")
 
@@ -43,6 +44,7 @@ def duck():
 def test_only_the_unordered_preview_lacks_sql():
     assert set(QUERIES) - set(SQL) == {"l01_limit"}
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("scale", SCALES)
