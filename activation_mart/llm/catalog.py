@@ -1,3 +1,3 @@
 """Loads every module that registers a query."""
 
-from . import mixing, sharding  # noqa: F401
+from . import decontamination, mixing, repetition, sharding, urls  # noqa: F401
