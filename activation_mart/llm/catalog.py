@@ -1,3 +1,3 @@
 """Loads every module that registers a query."""
 
-from . import decontamination, lines, minhash, mixing, repetition, resampling, sharding, urls  # noqa: F401
+from . import decontamination, lines, minhash, mixing, repetition, resampling, sharding, substrings, urls  # noqa: F401
