@@ -1,3 +1,5 @@
 """Loads every module that registers a query."""
 
-from . import decontamination, lines, minhash, mixing, repetition, resampling, sharding, substrings, urls  # noqa: F401
+from . import (  # noqa: F401
+    decontamination, language, lines, minhash, mixing, repetition, resampling, sharding, substrings, urls,
+)
