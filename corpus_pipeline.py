@@ -6,12 +6,28 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from activation_mart.llm import mixing, sharding
+from activation_mart.llm import decontamination, minhash, mixing, resampling, sharding
 from activation_mart.session import shared_folder
 
 ORACLE_SQL = None  # hashed models and signatures have no SQL; tests compare with brute force
 
 
+def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier draws; those it rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return resampling.resample(docs, labels).filter("__kept").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the least doc_id."""
+    return minhash.without_near_duplicates(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mixed_documents(docs)
@@ -22,7 +38,13 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(docs)
 
 
-STAGES = [("mix", mix_sources), ("shard", shard)]
+STAGES = [
+    ("quality classifier", classify_quality),
+    ("near duplicates", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("source mix", mix_sources),
+    ("sharding", shard),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +52,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
     for number, (name, stage) in enumerate(STAGES):
-        path = f"{folder}/{number}-{name}"
+        path = f"{folder}/{number}-{name.replace(' ', '-')}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
