@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..session import settle
 
+FEW = 32  # members of a bucket that are compared without a closer bound
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the least node reachable, for every node of undirected ``edges`` (a, b).
@@ -43,47 +45,88 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _near(size: str, unique: str, similarity: float) -> str:
+    """Whether a set of these weights and one of (size, own) can be similar: they share no more than this."""
+    shared = f"least({size} - {unique}, size - own)"
+    return f"{shared} >= {similarity} * ({size} + size - {shared}) - 1e-9"
+
+
 def linked_components(
-    members: DataFrame, verify: Callable[[DataFrame], DataFrame], similarity: float
+    members: DataFrame,
+    fetch: Callable[[DataFrame], DataFrame],
+    compare: Callable[[DataFrame, DataFrame], DataFrame],
+    elements: Callable[[DataFrame, DataFrame], DataFrame],
+    similarity: float,
 ) -> tuple[DataFrame, DataFrame]:
-    """Components of all true pairs that share a bucket, and the pairs verified on the way.
-
-    ``members`` has (bucket, node, size); ``verify`` takes distinct pairs (a, b)
-    with a < b and returns those that hold. Sets whose sizes differ by more than
-    ``similarity`` cannot be that similar and are not compared. First every member is compared with
-    the least node of each of its buckets alone. Where a bucket then still holds
-    several components, every member outside its largest one is compared with
-    the members of other components. A pair that is never compared stands in one
-    component already, so the components are those of comparing all pairs, while
-    a group of n copies costs n comparisons.
+    """Components of all pairs of sets that share a bucket and are similar, and the pairs found on the way.
+
+    ``members`` has (bucket, node, size), size being a set's weight. ``fetch``
+    gives what is compared of some nodes, once; ``compare`` takes distinct pairs
+    (a, b), a < b, and returns those that hold; ``elements`` gives (node,
+    element, weight) of some nodes.
+
+    First every member is compared with the least node of each of its buckets.
+    Where a bucket then still holds several components, what a set has that no
+    other set in question has bounds its similarity to all of them. Members are
+    compared with the node of least such weight of their bucket, and at last
+    every member outside a bucket's largest component with all members of other
+    components that the bounds allow. A pair that is never compared stands in
+    one component already or cannot be similar: the components are those of
+    comparing all pairs, while a group of n copies costs a few times n.
     """
     members = settle(members, "members")
-    hubs = members.groupBy("bucket").agg(F.min_by(F.struct("node", "size"), "node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    near = f"least({{0}}, size) >= {similarity} * greatest({{0}}, size)"
+    counts = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = settle(members.join(counts, "bucket"), "shared")
+    payload = settle(fetch(members.select("node").distinct()), "payload")
+    hubs = members.groupBy("bucket").agg(F.min_by(F.struct("node", "size"), "node").alias("hub"))
     stars = (
-        members.join(hubs, "bucket").filter("node <> hub.node").filter(near.format("hub.size"))
+        members.withColumn("own", F.lit(0.0)).join(hubs, "bucket")
+        .filter("node <> hub.node").filter(_near("hub.size", "0.0", similarity))
         .select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
     )
-    stars = settle(stars.distinct(), "stars")
-    found = settle(verify(stars), "star-pairs")
-    roots = settle(components(found), "star-roots")
-    shared = members.join(hubs.select("bucket"), "bucket")
-    placed = settle(
-        shared.join(roots, "node", "left").select("bucket", "node", "size", F.coalesce("root", "node").alias("root")),
-        "placed",
+    tried = settle(stars.distinct(), "stars")
+    found = settle(compare(tried, payload), "star-pairs")
+
+    def still_open(rows: DataFrame) -> DataFrame:
+        """Rows of buckets that hold several components, with the largest one, ``main``."""
+        roots = settle(components(found), "roots")
+        placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        placed = settle(placed, "placed")
+        main = (
+            placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("k"))
+            .groupBy("bucket").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("parts"))
+            .filter("parts > 1").select("bucket", "main")
+        )
+        return settle(placed.join(main, "bucket"), "open")
+
+    def further(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        new = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+        new = settle(new.join(tried, ["a", "b"], "left_anti"), "more")
+        return tried.union(new), found.union(settle(compare(new, payload), "more-pairs"))
+
+    rows = still_open(members)
+    # Buckets of a few members cost little either way.
+    many = rows.filter(F.col("n") > FEW).select("node").distinct()
+    parts = settle(elements(many, payload), "elements")
+    single = parts.groupBy("element").agg(
+        F.count(F.lit(1)).alias("k"), F.min("node").alias("node"), F.min("weight").alias("weight")
+    ).filter("k = 1")
+    own = single.groupBy("node").agg(F.sum("weight").alias("own"))
+    # The bound holds among ``many`` alone, hence in the large buckets.
+    rows = rows.join(own, "node", "left").withColumn(
+        "own", F.when(F.col("n") > FEW, F.coalesce("own", F.lit(0.0))).otherwise(0.0)
     )
-    by_root = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = by_root.groupBy("bucket").agg(
-        F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("parts")
-    ).filter("parts > 1")
-    open_ = settle(placed.join(main.select("bucket", "main"), "bucket"), "open")
-    apart = open_.filter("root <> main").select("bucket", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("size").alias("x_size"))
-    pairs = (
-        apart.join(open_.select("bucket", "node", "root", "size"), "bucket")
-        .filter("x_root <> root").filter(near.format("x_size"))
-        .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    rows = settle(rows.select("bucket", "node", "size", "own", "root", "main"), "bounded")
+    hubs = rows.groupBy("bucket").agg(
+        F.min_by(F.struct("node", "size", "own", "root"), F.struct(F.col("own") / F.col("size"), F.col("node"))).alias("hub")
+    )
+    pairs = rows.join(hubs, "bucket").filter("root <> hub.root").filter(_near("hub.size", "hub.own", similarity))
+    tried, found = further(pairs.select(F.col("hub.node").alias("x"), "node"))
+
+    rows = still_open(rows.select("bucket", "node", "size", "own"))
+    apart = rows.filter("root <> main").select(
+        "bucket", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("size").alias("x_size"), F.col("own").alias("x_own")
     )
-    pairs = pairs.join(stars, ["a", "b"], "left_anti")
-    more = settle(verify(settle(pairs, "open-pairs")), "more-pairs")
-    found = found.union(more)
+    pairs = apart.join(rows, "bucket").filter("x_root <> root").filter(_near("x_size", "x_own", similarity))
+    tried, found = further(pairs.select("x", "node"))
     return components(found), found

@@ -91,8 +91,9 @@ def kneser_ney(counts: DataFrame) -> list[pd.DataFrame]:
             F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
         )
         ones = counts.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"))
-        discount = F.greatest(F.lit(0.1), F.least(F.lit(0.9), F.col("n1") / (F.col("n1") + 2 * F.col("n2"))))
-        ones = ones.select("lang", F.coalesce(discount, F.lit(0.5)).alias("discount"))
+        rare = F.col("n1") + 2 * F.col("n2")
+        discount = F.when(rare > 0, F.greatest(F.lit(0.1), F.least(F.lit(0.9), F.col("n1") / rare))).otherwise(0.5)
+        ones = ones.select("lang", discount.alias("discount"))
         # The least count that keeps no more than the bound, from a histogram of counts.
         sizes = counts.groupBy("lang", F.least("n", F.lit(1000)).alias("n")).agg(F.count(F.lit(1)).alias("k")).collect()
         least = {}
@@ -128,7 +129,8 @@ class Model:
     def _add(self, order: int, rows: pd.DataFrame) -> None:
         found = np.unique(rows["gram"].to_numpy(np.int64).view(np.uint64))
         contexts = np.unique(found >> np.uint64(BITS))
-        lower = np.exp(self.log_probabilities(found, order - 1))
+        shorter = found & np.uint64((1 << BITS * (order - 1)) - 1)
+        lower = np.exp(self.log_probabilities(shorter, order - 1))
         probability = np.zeros((len(found), len(self.languages)))
         back = np.ones((len(contexts), len(self.languages)))
         for at, lang in enumerate(self.languages):

@@ -167,6 +167,21 @@ def weighted_jaccard(pairs: DataFrame, idf) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInPandas(compared, "a bigint, b bigint, similarity double")
 
 
+def weighted_shingles(frame: DataFrame, idf) -> DataFrame:
+    """(node, element, weight) of the shingles of (node, text)."""
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for node, text in zip(batch["node"], batch["text"]):
+                grams, times = shingles(text)
+                yield pd.DataFrame({
+                    "node": np.full(len(grams), node), "element": grams.view(np.int64),
+                    "weight": _weights(idf.value, grams, times),
+                })
+
+    return frame.select("node", "text").mapInPandas(listed, "node bigint, element bigint, weight double")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per distinct text: ``key``, ``first_id`` (its least doc_id), ``n_first``, ``class_id``, ``n_links``.
 
@@ -201,18 +216,19 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     members = bands.select("node", "size", F.explode("bands").alias("bucket")).distinct()
     hashed = docs.select("doc_id", "text", F.unhex(F.md5("text")).alias("key")).filter(F.col("text").isNotNull())
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        named = nodes.join(needed, "node").select("node", "key", "first_id")
-        texts_ = settle(
-            hashed.join(named, "key").filter(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("node", "text"),
-            "texts",
-        )
-        left = pairs.join(texts_.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        both = left.join(texts_.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    def fetch(wanted: DataFrame) -> DataFrame:
+        named = nodes.join(wanted, "node").select("node", "key", "first_id")
+        return hashed.join(named, "key").filter(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("node", "text")
+
+    def compare(pairs: DataFrame, fetched: DataFrame) -> DataFrame:
+        left = pairs.join(fetched.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        both = left.join(fetched.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         return weighted_jaccard(both, idf).filter(F.col("similarity") >= similarity).select("a", "b").distinct()
 
-    roots, links = linked_components(members, verify, similarity)
+    def elements(wanted: DataFrame, fetched: DataFrame) -> DataFrame:
+        return weighted_shingles(fetched.join(wanted, "node"), idf).distinct()
+
+    roots, links = linked_components(members, fetch, compare, elements, similarity)
     ends = links.select(F.col("a").alias("node")).union(links.select("b"))
     degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     firsts = nodes.select(F.col("node").alias("root"), F.col("first_id").alias("class_id"))
@@ -228,17 +244,17 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 def without_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The first document of each class, and all with NULL text, with the columns of ``docs``."""
     classes = settle(near_duplicates(docs.select("doc_id", "text"), similarity), "classes")
-    first = classes.filter("is_first").select("key", "first_id", "n_first")
+    first = classes.filter("is_first").select(
+        F.col("key").alias("__of_key"), F.col("first_id").alias("__first_id"), F.col("n_first").alias("__n_first")
+    )
     names = docs.columns
     keyed = docs.withColumn("__key", F.unhex(F.md5("text")))
-    match = F.expr("__key = key AND doc_id <=> first_id")
+    match = F.expr("__key = __of_key AND doc_id <=> __first_id")
     kept = keyed.filter(F.col("text").isNotNull()).join(first, match)
-    once = kept.filter("n_first = 1 AND first_id IS NOT NULL")
-    repeated = kept.filter("NOT (n_first = 1 AND first_id IS NOT NULL)").dropDuplicates(["__key"])
-    if classes.filter("is_first AND NOT (n_first = 1 AND first_id IS NOT NULL)").isEmpty():
-        kept = once
-    else:
-        kept = once.unionByName(repeated)
+    once = "__n_first = 1 AND __first_id IS NOT NULL"
+    if not first.filter(f"NOT ({once})").isEmpty():  # a repeated row, or none with a doc_id
+        repeated = kept.filter(f"NOT ({once})").dropDuplicates(["__key"])
+        kept = kept.filter(once).unionByName(repeated)
     return kept.select(*names).unionByName(docs.filter(F.col("text").isNull()))
 
 
