@@ -60,8 +60,8 @@ def linked_components(
 ) -> tuple[DataFrame, DataFrame]:
     """Components of all pairs of sets that share a bucket and are similar, and the pairs found on the way.
 
-    ``members`` has (bucket, node, size), size being a set's weight. ``fetch``
-    gives what is compared of some nodes, once; ``compare`` takes distinct pairs
+    ``members`` has (bucket, node). ``fetch`` gives what is compared of some
+    nodes, once, with their ``size``, the weight of a set; ``compare`` takes distinct pairs
     (a, b), a < b, and returns those that hold; ``elements`` gives (node,
     element, weight) of some nodes.
 
@@ -78,6 +78,7 @@ def linked_components(
     counts = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = settle(members.join(counts, "bucket"), "shared")
     payload = settle(fetch(members.select("node").distinct()), "payload")
+    members = settle(members.join(payload.select("node", "size"), "node"), "sized")
     hubs = members.groupBy("bucket").agg(F.min_by(F.struct("node", "size"), "node").alias("hub"))
     stars = (
         members.withColumn("own", F.lit(0.0)).join(hubs, "bucket")

@@ -201,9 +201,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     spark = docs.sparkSession
     idf = spark.sparkContext.broadcast(inverse_frequencies(docs))
     signed = settle(signatures(docs, idf), "signatures")
-    rows = signed.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
+    rows = signed.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
     nodes = rows.groupBy("key").agg(
-        F.min("doc_id").alias("first_id"), F.min_by("n", "doc_id").alias("n_first"), F.first("size").alias("size")
+        F.min("doc_id").alias("first_id"), F.min_by("n", "doc_id").alias("n_first"), F.max("size").alias("size")
     )
     nodes = with_surrogate_key(
         nodes.withColumn("none", F.col("first_id").isNull()), "node", ["none", "first_id", "key"]
@@ -213,12 +213,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     bands = signed.filter(F.size("bands") > 0).join(nodes.drop("size"), "key").filter(
         F.col("doc_id").eqNullSafe(F.col("first_id"))
     )
-    members = bands.select("node", "size", F.explode("bands").alias("bucket")).distinct()
+    members = bands.select("node", F.explode("bands").alias("bucket")).distinct()
     hashed = docs.select("doc_id", "text", F.unhex(F.md5("text")).alias("key")).filter(F.col("text").isNotNull())
 
     def fetch(wanted: DataFrame) -> DataFrame:
-        named = nodes.join(wanted, "node").select("node", "key", "first_id")
-        return hashed.join(named, "key").filter(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("node", "text")
+        named = nodes.join(wanted, "node").select("node", "key", "first_id", "n_first", "size")
+        rows = hashed.join(named, "key").filter(F.col("doc_id").eqNullSafe(F.col("first_id")))
+        rows = rows.select("node", "size", "text", "n_first")
+        once = rows.filter("n_first = 1").drop("n_first")
+        repeated = rows.filter("n_first > 1 OR n_first IS NULL").drop("n_first")
+        return once.unionByName(repeated.dropDuplicates(["node"]))
 
     def compare(pairs: DataFrame, fetched: DataFrame) -> DataFrame:
         left = pairs.join(fetched.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
