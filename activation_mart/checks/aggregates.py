@@ -128,9 +128,18 @@ def _(t):
     return latest_one(_cards(t), "AccountKey", ["CreateDate", "CustomerKey"])
 
 
-@check("l01_limit", None)
+@check(
+    "l01_limit",
+    """SELECT least(10, count(*)) AS n_rows, least(10, count(*)) AS n_of_master FROM src_account_master""",
+)
 def _(t):
-    return preview(t.master, 10)
+    # Which rows come is open; how many, and that the master has them, is not.
+    rows = preview(t.master, 10)
+    found = rows.join(t.master.select(F.col("AccountKey").alias("held")).distinct(), F.expr("AccountKey <=> held"), "left")
+    return found.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.expr("AccountKey <=> held")).alias("n_of_master"),
+    )
 
 
 @check(

@@ -62,6 +62,10 @@ def month_boundaries(first: Column | str, last: Column | str) -> Column:
 
 
 def hour_boundaries(first: Column | str, last: Column | str) -> Column:
-    """Full hours on the clock passed from ``first`` to ``last``."""
-    first, last = (F.date_trunc("hour", as_column(c)).cast("timestamp_ntz") for c in (first, last))
-    return F.timestamp_diff("HOUR", first, last)
+    """Full hours on the clock passed from ``first`` to ``last``, whatever the session's time zone.
+
+    Days and hours of a time without zone are taken as they stand.
+    """
+    first, last = (as_column(c).cast("timestamp_ntz") for c in (first, last))
+    days = F.date_diff(last.cast("date"), first.cast("date")).cast("long")
+    return days * 24 + F.hour(last) - F.hour(first)

@@ -40,8 +40,8 @@ def code_needs_trusted_user(
     trusted_users: Iterable[int],
 ) -> Column:
     """An open code counts from anybody, the restricted one from trusted users only."""
-    code, user = as_column(code), as_column(user)
-    return code.isin(list(open_codes)) | ((code == restricted_code) & user.isin(list(trusted_users)))
+    restricted = ci_eq(code, restricted_code) & as_column(user).isin(list(trusted_users))
+    return same_text_in(code, open_codes) | restricted
 
 
 def channel_label(is_online: Column | str) -> Column:

@@ -7,8 +7,8 @@ from .lookup import (
     apply_left,
     left_lookup,
     null_aware_anti,
+    has_row,
     only_keys,
-    small_keys,
     union_distinct,
     with_spread,
 )
@@ -20,7 +20,7 @@ __all__ = [
     "SPREAD",
     "add_column", "append_new", "apply_inner", "apply_left", "drift", "duplicates",
     "first_match", "keyed_patch", "latest_one", "latest_with_ties", "left_lookup",
-    "null_aware_anti", "only_keys", "preview", "rows_at_latest", "set_where",
-    "small_keys", "top_n",
+    "has_row", "null_aware_anti", "only_keys", "preview", "rows_at_latest", "set_where",
+    "top_n",
     "union_distinct", "with_attempt", "with_spread", "with_surrogate_key",
 ]

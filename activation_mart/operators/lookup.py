@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NULL_SPREAD = 1024
-BROADCAST_KEYS = 1_000_000  # longs: a few tens of megabytes per executor
 SPREAD = "__spread"
 
 
@@ -57,18 +56,20 @@ def left_lookup(
     return out.drop("__left_spread")
 
 
-def small_keys(df: DataFrame, column: str) -> DataFrame | None:
-    """The non-NULL keys of a settled frame if they are few enough to broadcast, else None."""
-    keys = df.select(column).filter(F.col(column).isNotNull())
-    return keys if keys.count() <= BROADCAST_KEYS else None
-
-
 def only_keys(df: DataFrame, keys: DataFrame | None, key: str) -> DataFrame:
-    """Rows with one of the ``keys``, dropped before any shuffle; all rows if there is no such list."""
+    """Rows with one of the ``keys`` (a frame of one column); all rows if there is no such frame.
+
+    How the keys travel is left to Spark's size threshold.
+    """
     if keys is None:
         return df
-    named = keys.withColumnRenamed(keys.columns[0], key)
-    return df.join(F.broadcast(named), key, "left_semi")
+    named = keys.toDF(key)
+    return df.join(named.filter(F.col(key).isNotNull()), key, "left_semi")
+
+
+def has_row(table: DataFrame, column: str, value) -> Column:
+    """Whether ``table`` has the value: one row of one flag, in place of a join on a single key."""
+    return table.agg(F.count_if(F.col(column) == value) > 0).scalar()
 
 
 def null_aware_anti(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .latest import latest_one
+
 
 def keyed_patch(
     master: DataFrame,
@@ -16,8 +18,13 @@ def keyed_patch(
     mode: str = "overwrite",
     where: str | None = None,
     flag: str | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """Set ``columns`` where ``patch``, which holds one row per key, has the key.
+    """Set ``columns`` where ``patch`` has the key.
+
+    Of several patch rows with one key the one with the greatest ``order``
+    values counts, by default the greatest values of ``columns``; rows of the
+    master are never multiplied.
 
     ``overwrite`` writes NULLs of the patch too; ``fill_null`` leaves columns
     that already hold a value. ``where`` limits the rows of the master, ``flag``
@@ -26,7 +33,8 @@ def keyed_patch(
     if mode not in ("overwrite", "fill_null"):
         raise ValueError(f"unknown patch mode: {mode}")
     types = {c: master.schema[c].dataType.simpleString() for c in columns}
-    news = patch.selectExpr(
+    once = latest_one(patch.select(*{key: 0, **dict.fromkeys([*columns, *order])}), key, [*dict.fromkeys([*order, *columns])])
+    news = once.selectExpr(
         key, "true AS __found",
         *(f"CAST({c} AS {data_type}) AS __new_{c}" for c, data_type in types.items()),
     )
@@ -43,7 +51,7 @@ def keyed_patch(
 
 
 def append_new(master: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Add the rows whose key the master does not hold yet."""
+    """Add the rows whose key the master does not hold yet; ``rows`` has one row per new key."""
     fresh = rows.join(master.select(key), key, "left_anti")
     return master.unionByName(fresh, allowMissingColumns=True)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions import RunWindow, code_needs_trusted_user, in_window
+from ..functions import RunWindow, code_needs_trusted_user, folded, in_window, same_text_in
 from ..operators import latest_one, rows_at_latest, with_attempt
 from ..sources import Sources
 
@@ -27,14 +27,14 @@ def latest_block_changes(
     codes = {*config.LATEST_BLOCK_CODES, *config.OPEN_BLOCK_CODES}
     history = src["rating_history"].select(
         "CustomerKey", "ChangeDate", "CreditRatingKey", "SysUserKey"
-    ).filter(F.col("CreditRatingKey").isin(sorted(codes)))
+    ).filter(same_text_in("CreditRatingKey", sorted(codes)))
     if window is not None:
         history = history.filter(in_window("ChangeDate", window))
     if customers is not None:
         history = history.join(customers.select("CustomerKey"), "CustomerKey", "left_semi")
     latest = rows_at_latest(
         history, "CustomerKey", "ChangeDate",
-        F.col("CreditRatingKey").isin(*config.LATEST_BLOCK_CODES),
+        same_text_in("CreditRatingKey", config.LATEST_BLOCK_CODES),
     )
     eligible = latest.filter(
         code_needs_trusted_user(
@@ -47,10 +47,11 @@ def latest_block_changes(
 
 def blocks_in_force(changes: DataFrame, src: Sources) -> DataFrame:
     """Changes that still are the rating of their card, with its account."""
-    cards = src["customer"].select("AccountKey", "CustomerKey", "CreditRatingKey")
-    return changes.join(
-        cards.filter("AccountKey is not null"), ["CustomerKey", "CreditRatingKey"]
-    ).select("AccountKey", "CustomerKey", "ChangeDate", "CreditRatingKey", "SysUserKey", "FullName")
+    cards = src["customer"].filter("AccountKey is not null").select(
+        "AccountKey", "CustomerKey", folded("CreditRatingKey").alias("__rating")
+    )
+    rated = changes.withColumn("__rating", folded("CreditRatingKey"))
+    return rated.join(cards, ["CustomerKey", "__rating"]).select("AccountKey", "CustomerKey", "ChangeDate", "CreditRatingKey", "SysUserKey", "FullName")
 
 
 def block_attribution(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import RunWindow, in_window
+from ..functions import RunWindow, folded, in_window
 from ..sources import Sources
 
 
@@ -29,13 +29,16 @@ def changed_ratings(src: Sources, window: RunWindow) -> DataFrame:
 
 def changed_status(src: Sources, window: RunWindow) -> DataFrame:
     """Accounts with a card-status change in the window."""
-    changes = src["card_status_history"].filter(in_window("StartDate", window)).select("SerialNbr")
+    history = src["card_status_history"].filter(in_window("StartDate", window))
+    changes = history.select(folded("SerialNbr").alias("SerialNbr"))
     return _accounts_of(src, changes, "SerialNbr").select("AccountKey").distinct()
 
 
 def _accounts_of(src: Sources, changes: DataFrame, key: str) -> DataFrame:
     """Customers with a change; the changes are reduced to their keys before the shuffle."""
-    customers = src["customer"].select("AccountKey", "CustomerKey", "SerialNbr")
+    customers = src["customer"].select(
+        "AccountKey", "CustomerKey", folded("SerialNbr").alias("SerialNbr")
+    )
     return customers.filter("AccountKey is not null").join(changes.distinct(), key, "left_semi")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import ci_eq, same_text_in
-from ..operators import SPREAD, left_lookup, only_keys, set_where, with_spread
+from ..operators import SPREAD, has_row, left_lookup, only_keys, set_where, with_spread
 from ..sources import Sources
 
 KEY = "IdentityValidationKey"
@@ -56,15 +56,17 @@ def internal_checks(src: Sources, only: DataFrame | None = None) -> DataFrame:
             (F.col("IdentityValidationVendorKey") == config.INTERNAL_VENDOR)
             & (F.col("IdentityValidationStatusTypeKey") == config.INTERNAL_STATUS_TYPE)
         )
-        .select(KEY, "IdentityValidationVendorKey", "IdentityValidationStatusTypeKey")
+        .select(KEY)
     )
-    vendors = src["identity_validation_vendor"].select("IdentityValidationVendorKey")
-    types = src["identity_validation_status_type"].select("IdentityValidationStatusTypeKey")
-    known = passed.join(vendors, "IdentityValidationVendorKey").join(
-        types, "IdentityValidationStatusTypeKey"
+    known = passed.filter(
+        has_row(src["identity_validation_vendor"], "IdentityValidationVendorKey", config.INTERNAL_VENDOR)
+        & has_row(
+            src["identity_validation_status_type"], "IdentityValidationStatusTypeKey",
+            config.INTERNAL_STATUS_TYPE,
+        )
     )
     return (
-        with_spread(known.select(KEY), KEY)
+        with_spread(known, KEY)
         .distinct()
         .withColumn("internal_check", F.lit(True))
     )
@@ -88,7 +90,7 @@ def quiz_column(accounts: DataFrame, src: Sources) -> DataFrame:
 
 def may_be_internal():
     """Approved accounts without a last attempt value."""
-    return (F.col(config.STEP_COLUMN) == config.APPROVED) & F.col("LastAttemptValue").isNull()
+    return ci_eq(config.STEP_COLUMN, config.APPROVED) & F.col("LastAttemptValue").isNull()
 
 
 def internal_lookup(accounts: DataFrame, src: Sources) -> DataFrame:

@@ -10,6 +10,7 @@ from ..functions import ci_eq, ci_like, month_year
 from ..operators import (
     SPREAD,
     first_match,
+    has_row,
     left_lookup,
     only_keys,
     set_where,
@@ -30,7 +31,7 @@ def online_failures(src: Sources, only: DataFrame | None = None) -> DataFrame:
         only_keys(src["activation_activity"], only, "CustomerKey")
         .filter(F.col("ActivationTypeKey") == config.ONLINE_ACTIVATION_TYPE)
         .filter(F.col("IsConfirmed") == F.lit(False))
-        .join(src["activation_type"].select("ActivationTypeKey"), "ActivationTypeKey")
+        .filter(has_row(src["activation_type"], "ActivationTypeKey", config.ONLINE_ACTIVATION_TYPE))
         .select(
             "CustomerKey",
             "ActivationActivityTypeKey",
@@ -125,8 +126,10 @@ def failure_flags(src: Sources, only: DataFrame | None = None) -> DataFrame:
         "ActivationActivityTypeKey",
         *(F.coalesce(test, F.lit(False)).alias(name) for name, test in kinds.items()),
     )
+    # At most one row per customer and type meets the few types.
+    found = online_failures(src, only).select("CustomerKey", "ActivationActivityTypeKey").distinct()
     return (
-        with_spread(online_failures(src, only), "CustomerKey")
+        with_spread(found, "CustomerKey")
         .join(types, "ActivationActivityTypeKey")
         .groupBy("CustomerKey", SPREAD)
         .agg(*(F.bool_or(name).alias(name) for name in kinds))

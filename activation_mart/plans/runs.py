@@ -13,7 +13,6 @@ from ..operators import (
     apply_left,
     keyed_patch,
     left_lookup,
-    small_keys,
     with_surrogate_key,
 )
 from ..session import settle
@@ -86,11 +85,11 @@ def classify(
 
     Everything looked up is one row per identity check or per card, so accounts
     are shuffled twice however many of these facts there are. ``settled``
-    accounts are cheap to read: where they are few, the fact tables are cut to
-    their keys first.
+    accounts are cheap to read again, and the fact tables are cut to their keys
+    first.
     """
-    checks = small_keys(accounts, "LastIdentityValidationKey") if settled else None
-    cards = small_keys(accounts, "VCustomerkey") if settled else None
+    checks = accounts.select("LastIdentityValidationKey") if settled else None
+    cards = accounts.select("VCustomerkey") if settled else None
     customers = retail_customers(src, cards).withColumn("customer_found", F.lit(True))
     facts = left_lookup(
         with_check_facts(
@@ -127,7 +126,7 @@ def classify(
 
 
 def _is(channel: str) -> Column:
-    return F.col("Channel") == channel
+    return ci_eq("Channel", channel)
 
 
 def backfill(master: DataFrame, src: Sources, online_window: RunWindow) -> DataFrame:
@@ -189,9 +188,8 @@ def run_update(
     may reset the last attempt value before the internal tag is set again.
     """
     changes = settle(all_changes(src, window), "changes")
-    held = master.filter(F.col("AccountKey").isNotNull())
-    touched = held.join(changed_accounts(changes), "AccountKey")
-    untouched = held.join(changes, "AccountKey", "left_anti")
+    touched = master.join(changed_accounts(changes), "AccountKey")
+    untouched = master.join(changes, "AccountKey", "left_anti")  # keyless rows among them
 
     checked = _patch_checks(touched, changes, src, cfg)
     rated = changes.filter("rating_changed")

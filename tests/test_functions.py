@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from activation_mart.functions import (
+    code_needs_trusted_user,
     RunWindow,
     address_verified,
     channel_label,
@@ -75,6 +76,25 @@ def test_hour_boundaries(spark):
     assert values(spark, rows, schema, hour_boundaries("a", "b")) == [1, 0, -1]
 
 
+def test_hour_boundaries_in_a_zone_with_summer_time(spark):
+    rows = [(datetime(2012, 3, 11, 2, 30), datetime(2012, 3, 11, 5, 10)),
+            (datetime(2012, 3, 11, 1, 10), datetime(2012, 3, 11, 2, 30)),
+            (datetime(1960, 3, 11, 1, 10), datetime(1960, 3, 11, 2, 5))]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = values(spark, rows, "a timestamp_ntz, b timestamp_ntz", hour_boundaries("a", "b"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found == [3, 1, 1]
+
+
+def test_codes_ignore_case_and_trailing_blanks(spark):
+    rows = [("b5", 1), ("B5 ", 1), ("c5", 1), ("c5 ", 7), ("P1", 7)]
+    test = code_needs_trusted_user("code", "user", ["B5"], "C5", [7])
+    assert values(spark, rows, "code string, user int", test) == [True, True, False, True, False]
+
+
 def test_month_year_and_parse_date(spark):
     rows = [("10/3/2012",), ("1/22/2013",)]
     parsed = parse_date("s")

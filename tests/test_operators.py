@@ -22,7 +22,6 @@ from activation_mart.operators import (
     preview,
     rows_at_latest,
     set_where,
-    small_keys,
     top_n,
     union_distinct,
     with_attempt,
@@ -101,12 +100,10 @@ def test_left_lookup_with_null_keys(spark):
     assert tuples(out) == sorted(expected, key=repr)
 
 
-def test_few_keys_cut_facts_and_many_do_not(spark, monkeypatch):
+def test_only_keys(spark):
     accounts = spark.createDataFrame([(1,), (None,), (3,)], "k bigint")
     facts = spark.createDataFrame([(1, "a"), (2, "b"), (1, "c")], "f bigint, v string")
-    assert tuples(only_keys(facts, small_keys(accounts, "k"), "f"), "v") == [("a",), ("c",)]
-    monkeypatch.setattr("activation_mart.operators.lookup.BROADCAST_KEYS", 1)
-    assert small_keys(accounts, "k") is None
+    assert tuples(only_keys(facts, accounts, "f"), "v") == [("a",), ("c",)]
     assert only_keys(facts, None, "f").count() == 3
 
 
@@ -132,6 +129,13 @@ def test_keyed_patch_modes(spark):
         keyed_patch(master, patch, "k", ["v"], "merge")
 
 
+def test_repeated_patch_keys_do_not_multiply_rows(spark):
+    master = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    patch = spark.createDataFrame([(1, "x", 5), (1, "y", 4), (1, "z", 4)], "k int, v string, at int")
+    assert tuples(keyed_patch(master, patch, "k", ["v"]), "k", "v") == [(1, "z"), (2, "b")]
+    assert tuples(keyed_patch(master, patch, "k", ["v"], order=["at"]), "k", "v") == [(1, "x"), (2, "b")]
+
+
 def test_keyed_patch_scope_and_flag(spark):
     master = spark.createDataFrame(MASTER, "k int, v string, other int")
     patch = spark.createDataFrame([(1, "A"), (2, "B")], "k int, v string")

@@ -41,8 +41,8 @@ def duck():
     return connect
 
 
-def test_only_the_unordered_preview_lacks_sql():
-    assert set(QUERIES) - set(SQL) == {"l01_limit"}
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
@@ -65,9 +65,5 @@ def test_matches_sql(spark, duck, name, scale):
     assert sorted(map(repr, found)) == sorted(map(repr, expected))
 
 
-def test_preview(spark):
-    assert QUERIES["l01_limit"](spark, f"{ROOT}/sf0.001").count() == 10
-
-
 def test_entry(spark):
     assert driver.entry(spark).columns == ["AccountKey", "CreateDate", "BankKey", "BankName", "Channel"]
