@@ -159,7 +159,10 @@ def row_key() -> Column:
 
 
 def occurrences(docs: DataFrame, length: int) -> DataFrame:
-    """Stretches (row, start, windows, seed, digest) whose seed hash occurs twice or more."""
+    """Stretches (row, start, windows, seed, digest) whose seed hash occurs twice or more.
+
+    Seeds are counted before the shuffle, and the join may split a frequent one.
+    """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -176,7 +179,7 @@ def occurrences(docs: DataFrame, length: int) -> DataFrame:
             yield pd.DataFrame({name: np.concatenate(values) for name, values in found.items()})
 
     rows = docs.select(row_key().alias("row"), "text").filter(F.octet_length("text") >= length)
-    dealt = rows.mapInPandas(cut, "row bigint, start int, windows int, seed bigint, digest bigint").repartition("seed")
+    dealt = rows.mapInPandas(cut, "row bigint, start int, windows int, seed bigint, digest bigint")
     several = dealt.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed")
     return dealt.join(several, "seed")
 
