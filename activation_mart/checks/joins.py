@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import apply_inner, apply_left, null_aware_anti
-from ..plans.block import block_attribution
+from ..plans.block import latest_blocks
 from ..plans.cards import balance_patch, card_resolution
 from ..plans.extract import account_extract, latest_signup, new_only
 from ..plans.identity import latest_check
@@ -57,7 +57,7 @@ def _(t):
 )
 def _(t):
     signups = latest_signup(account_extract(t.sources, INITIAL_WINDOW, CONFIG))
-    first = block_attribution(t.sources, INITIAL_BLOCK_WINDOW, cfg=CONFIG).filter("attempt = 1")
+    first = latest_blocks(t.sources, INITIAL_BLOCK_WINDOW, cfg=CONFIG)
     return signups.join(first, "AccountKey", "left").select(
         "AccountKey", "CreateDate", "CreditRatingKey", "ChangeDate", "FullName"
     )

@@ -11,35 +11,42 @@ from pyspark.sql import functions as F
 def with_attempt(df: DataFrame, key: str, moment: str, name: str = "attempt") -> DataFrame:
     """Number the moments of each key from the latest backwards; equal moments share a number.
 
-    Moments are ranked within key and day, and the number of distinct moments on
-    later days is added, so that no task has to rank all rows of a hot key. Rows
-    without a key form a group of their own, rows without a moment come last.
+    Only distinct moments are ranked, within key and day, and the number of
+    moments on later days is added. The rows are then joined on key and moment,
+    which spreads a hot key, also one with all its rows on one day. Rows without
+    a key form a group of their own, rows without a moment come last.
     """
     key_type = df.schema[key].dataType.simpleString()
     group = ["__key", "__no_key", "__day"]
-    days = df.withColumns(
+    keyed = df.withColumns(
         {
             "__key": F.expr(f"coalesce({key}, CAST('0' AS {key_type}))"),
             "__no_key": F.col(key).isNull(),
             "__day": F.expr(f"coalesce(CAST({moment} AS DATE), DATE '0001-01-01')"),
         }
     )
-    on_day = Window.partitionBy(*group).orderBy(F.col(moment).desc())
+    moments = keyed.select(*group, F.col(moment).alias("__moment")).distinct()
+    on_day = Window.partitionBy(*group).orderBy(F.col("__moment").desc())
     later = (
         Window.partitionBy("__key", "__no_key")
         .orderBy(F.col("__day").desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        days.select(*group, moment)
-        .distinct()
-        .groupBy(*group)
+        moments.groupBy(*group)
         .agg(F.count(F.lit(1)).alias("__moments"))
         .select(*group, F.coalesce(F.sum("__moments").over(later), F.lit(0)).alias("__later"))
     )
-    ranked = days.withColumn("__rank", F.dense_rank().over(on_day))
-    number = (F.col("__rank") + F.col("__later")).cast("int")
-    return ranked.join(offsets, group).select(*df.columns, number.alias(name))
+    numbered = (
+        moments.withColumn("__rank", F.row_number().over(on_day))
+        .join(offsets, group)
+        .select(
+            F.col("__key").alias("__of_key"), F.col("__no_key").alias("__of_none"), "__moment",
+            (F.col("__rank") + F.col("__later")).cast("int").alias("__number"),
+        )
+    )
+    match = F.expr(f"__key = __of_key AND __no_key = __of_none AND {moment} <=> __moment")
+    return keyed.join(numbered, match).select(*df.columns, F.col("__number").alias(name))
 
 
 def latest_with_ties(df: DataFrame, key: str, moment: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import RunWindow, code_needs_trusted_user, folded, in_window, same_text_in
-from ..operators import latest_one, rows_at_latest, with_attempt
+from ..operators import latest_one, latest_with_ties, rows_at_latest, with_attempt
 from ..sources import Sources
 
 BLOCK_COLUMNS = ("BlockCreditratingkey", "BlockDate", "BlockUser")
@@ -65,6 +65,17 @@ def block_attribution(
     return with_attempt(blocks_in_force(changes, src), "AccountKey", "ChangeDate")
 
 
+def latest_blocks(
+    src: Sources,
+    window: RunWindow | None = None,
+    customers: DataFrame | None = None,
+    cfg: config.MartConfig = config.DEFAULT_CONFIG,
+) -> DataFrame:
+    """Blocks in force at each account's latest instant, ties included: attempt 1 without ranking the rest."""
+    blocks = blocks_in_force(latest_block_changes(src, window, customers, cfg), src)
+    return latest_with_ties(blocks, "AccountKey", "ChangeDate")
+
+
 def block_per_account(
     src: Sources,
     window: RunWindow | None = None,
