@@ -99,6 +99,7 @@ def mix_sized(docs: DataFrame, seed: str = "mix", **shares) -> DataFrame:
         F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(0.0).alias("__rate"),
         offset.alias("__offset"),
     )
+    targets = settle(targets, "targets")  # its size is known now, a row per source
     before = (F.col("__row") - F.col("__first")) * F.col("__rate") + F.col("__offset")
     after = (F.col("__row") - F.col("__first") + 1) * F.col("__rate") + F.col("__offset")
     return (
