@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from . import config
 from .functions import RunWindow
 from .plans import backfill, build_initial, run_add, run_update
-from .session import RUNTIME_SETTINGS
+from .session import RUNTIME_SETTINGS, remove_settled
 from .sources import MasterStore, Sources
 
 
@@ -34,7 +34,20 @@ def arguments(argv=None) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, options: argparse.Namespace) -> int:
-    """Run one job and return the number of the master version it wrote."""
+    """Run one job and return the number of the master version it wrote.
+
+    What the job settles on the way is removed at its end, also after a failure.
+    Without ``spark.checkpoint.dir`` it lies under the master's folder.
+    """
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", f"{options.master.rstrip('/')}/scratch")
+    try:
+        return _run(spark, options)
+    finally:
+        remove_settled(spark)
+
+
+def _run(spark: SparkSession, options: argparse.Namespace) -> int:
     src = Sources.from_parquet(spark, options.sources)
     store = MasterStore(spark, options.master, options.buckets)
     window = RunWindow.parse(options.start, options.end)

@@ -54,5 +54,17 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/activation-mart/{label}-{uuid.uuid4().hex}"
+    _settled.append(folder)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+_settled: list[str] = []
+
+
+def remove_settled(spark: SparkSession) -> None:
+    """Remove what ``settle`` has written so far, once nothing reads it any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    while _settled:
+        path = hadoop.Path(_settled.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from datetime import datetime
 
 from world import DAY, RETAIL_TEMP, VERIFICATION, World, by_account
@@ -10,7 +11,9 @@ from activation_mart.__main__ import arguments, run
 from activation_mart.sources import MasterStore
 
 
-def test_initial_add_update(spark, tmp_path):
+def test_initial_add_update(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("activation_mart.session._settled", [])
+    monkeypatch.setattr("activation_mart.session.shared_folder", lambda _: str(tmp_path / "scratch"))
     w = World()
     w.card(10, 1, CreateDate=datetime(2012, 5, 1))
     w.failure(10, VERIFICATION)
@@ -39,3 +42,4 @@ def test_initial_add_update(spark, tmp_path):
     assert (second[2]["Tablekey"], second[2]["Activation_step"]) == (2, "Ident_Verify")
     assert job("daily-update", "12/23/2012", "12/26/2012") == 3
     assert set(by_account(store.read())) == {1, 2}
+    assert os.listdir(tmp_path / "scratch" / "activation-mart") == []

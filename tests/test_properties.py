@@ -11,7 +11,7 @@ from world import DAY, RETAIL_TEMP, VERIFICATION, WINDOW, World, by_account
 
 from activation_mart import config
 from activation_mart.functions import RunWindow
-from activation_mart.operators import latest_one, latest_with_ties, rows_at_latest
+from activation_mart.operators import latest_one, latest_with_ties, rows_at_latest, with_attempt
 from activation_mart.plans import run_add, run_update
 from activation_mart.plans.checks import quiz_facts
 from activation_mart.plans.online import failure_facts, failure_flags, online_steps
@@ -215,3 +215,22 @@ def test_runs_do_not_depend_on_broadcasts(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(few) == 29
+
+
+def test_a_hot_key_of_one_moment_is_split(small_splits):
+    rows = [(1, DAY, f"row {i * 7919}") for i in range(5000)] + [(i, DAY + timedelta(hours=i % 5), "x") for i in range(2, 300)]
+    df = small_splits.createDataFrame(rows, "k int, t timestamp_ntz, v string").repartition(4)
+    found = with_attempt(df, "k", "t")
+    rows, plan = final_plan(found)
+    assert rows == 5000 + 298
+    assert "skew=true" in plan
+
+
+def test_an_update_returns_rows_without_a_key(spark):
+    w = World()
+    w.card(1, 1, RETAIL_TEMP)
+    w.held(1, VCustomerkey=1)
+    master = w.master(spark)
+    keyless = master.withColumn("AccountKey", F.lit(None).cast(master.schema["AccountKey"].dataType))
+    out = run_update(w.sources(spark), master.unionByName(keyless), WINDOW)
+    assert sorted(str(row["AccountKey"]) for row in out.collect()) == ["1", "None"]
