@@ -87,10 +87,10 @@ def linked_components(
     )
     tried = settle(stars.distinct(), "stars")
     found = settle(compare(tried, payload), "star-pairs")
+    roots = settle(components(found), "roots")
 
     def still_open(rows: DataFrame) -> DataFrame:
         """Rows of buckets that hold several components, with the largest one, ``main``."""
-        roots = settle(components(found), "roots")
         placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         placed = settle(placed, "placed")
         main = (
@@ -100,10 +100,15 @@ def linked_components(
         )
         return settle(placed.join(main, "bucket"), "open")
 
-    def further(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def further(pairs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Compare pairs not yet tried; the components grow by what holds, from the stars they are."""
         new = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
         new = settle(new.join(tried, ["a", "b"], "left_anti"), "more")
-        return tried.union(new), found.union(settle(compare(new, payload), "more-pairs"))
+        links = settle(compare(new, payload), "more-pairs")
+        if links.isEmpty():
+            return tried.union(new), found, roots
+        stars = roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        return tried.union(new), found.union(links), settle(components(stars.union(links)), "roots")
 
     rows = still_open(members)
     # Buckets of a few members cost little either way.
@@ -122,12 +127,18 @@ def linked_components(
         F.min_by(F.struct("node", "size", "own", "root"), F.struct(F.col("own") / F.col("size"), F.col("node"))).alias("hub")
     )
     pairs = rows.join(hubs, "bucket").filter("root <> hub.root").filter(_near("hub.size", "hub.own", similarity))
-    tried, found = further(pairs.select(F.col("hub.node").alias("x"), "node"))
+    tried, found, roots = further(pairs.select(F.col("hub.node").alias("x"), "node"))
 
     rows = still_open(rows.select("bucket", "node", "size", "own"))
+    rows = rows.join(rows.groupBy("node").agg(F.collect_set("bucket").alias("all")), "node")
     apart = rows.filter("root <> main").select(
-        "bucket", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("size").alias("x_size"), F.col("own").alias("x_own")
+        "bucket", F.col("node").alias("x"), F.col("root").alias("x_root"), F.col("size").alias("x_size"),
+        F.col("own").alias("x_own"), F.col("all").alias("x_all"),
     )
-    pairs = apart.join(rows, "bucket").filter("x_root <> root").filter(_near("x_size", "x_own", similarity))
-    tried, found = further(pairs.select("x", "node"))
-    return components(found), found
+    # A pair is made in the least of the buckets that it shares, once.
+    pairs = (
+        apart.join(rows, "bucket").filter("x_root <> root").filter(_near("x_size", "x_own", similarity))
+        .filter("bucket = array_min(array_intersect(x_all, all))")
+    )
+    tried, found, roots = further(pairs.select("x", "node"))
+    return roots, found
