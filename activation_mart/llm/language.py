@@ -16,7 +16,6 @@ from .registry import query, table
 ORDER = 4
 BITS = 16  # of a character in an n-gram; letters beyond the basic plane share one code
 BLANK, OTHER = 32, 0xFFFF
-MOST_GRAMS = 200_000  # of a language and order, the most frequent
 REJECTED_SHARE = 0.005  # of calibration texts of a language that its limit rejects
 SHARPNESS = 20.0  # characters that the score treats as independent evidence
 UNKNOWN = "und"
@@ -77,12 +76,11 @@ def count_grams(labelled: DataFrame) -> DataFrame:
 
 
 def kneser_ney(counts: DataFrame) -> list[pd.DataFrame]:
-    """Per order from 1: (lang, gram, n, total, kinds, discount) of the kept n-grams.
+    """Per order from 1: (lang, gram, n, total, kinds, discount) of all n-grams.
 
     n is a count at the highest order and a number of different characters
-    before it below; total and kinds are those of its context, taken before
-    rare n-grams are left out. At most MOST_GRAMS rows per language and order
-    reach the driver.
+    before it below; total and kinds are those of its context. No n-gram is
+    left out, so what the driver holds grows with their number.
     """
     out = []
     for order in range(ORDER, 0, -1):
@@ -94,21 +92,8 @@ def kneser_ney(counts: DataFrame) -> list[pd.DataFrame]:
         rare = F.col("n1") + 2 * F.col("n2")
         discount = F.when(rare > 0, F.greatest(F.lit(0.1), F.least(F.lit(0.9), F.col("n1") / rare))).otherwise(0.5)
         ones = ones.select("lang", discount.alias("discount"))
-        # The least count that keeps no more than the bound, from a histogram of counts.
-        sizes = counts.groupBy("lang", F.least("n", F.lit(1000)).alias("n")).agg(F.count(F.lit(1)).alias("k")).collect()
-        least = {}
-        for lang in {row["lang"] for row in sizes}:
-            kept, least[lang] = 0, 1
-            for row in sorted((r for r in sizes if r["lang"] == lang), key=lambda r: -r["n"]):
-                kept += row["k"]
-                if kept > MOST_GRAMS:
-                    least[lang] = row["n"] + 1
-                    break
-        cut = F.lit(1)
-        for lang, value in least.items():
-            cut = F.when(F.col("lang") == lang, value).otherwise(cut)
-        kept = counts.filter(F.col("n") >= cut).withColumn("context", context)
-        out.append(kept.join(contexts, ["lang", "context"]).join(ones, "lang").drop("context").toPandas())
+        named = counts.withColumn("context", context)
+        out.append(named.join(contexts, ["lang", "context"]).join(ones, "lang").drop("context").toPandas())
         if order > 1:
             below = F.col("gram").bitwiseAND(F.lit((1 << BITS * (order - 1)) - 1))
             counts = settle(counts.groupBy("lang", below.alias("gram")).agg(F.count(F.lit(1)).alias("n")), "grams")
@@ -140,10 +125,6 @@ class Model:
             total, discount = own["total"].to_numpy(float), own["discount"].to_numpy(float)
             probability[np.searchsorted(found, gram), at] = (own["n"].to_numpy(float) - discount) / total
             back[place, at] = discount * own["kinds"].to_numpy(float) / total
-            # What left-out n-grams of a context weigh goes to the shorter one as well.
-            seen = np.bincount(place, (own["n"].to_numpy(float) - discount) / total, len(contexts))
-            some = np.unique(place)
-            back[some, at] = np.maximum(1 - seen[some], 1e-9)
         probability += back[np.searchsorted(contexts, found >> np.uint64(BITS))] * lower
         for keys, values, hashes, logs in (
             (found, probability, self.hashes, self.logs), (contexts, back, self.context_hashes, self.backoffs),
