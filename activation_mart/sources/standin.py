@@ -132,7 +132,7 @@ STANDINS: dict[str, str] = {
         SELECT l_orderkey + 1000000 AS IdentityValidationKey,
             CASE l_suppkey % 8 WHEN 0 THEN 'refer' WHEN 1 THEN 'REFER_incomplete'
                 WHEN 2 THEN NULL ELSE 'accept' END AS QuizResultCode
-        FROM {lineitem} WHERE l_linenumber <= 2""",
+        FROM {lineitem}""",
     "src_risk": """
         SELECT o_orderkey + 1000000 AS IdentityValidationKey,
             'R' || CAST(o_orderkey % 3 AS STRING) AS RiskValue
@@ -155,7 +155,7 @@ STANDINS: dict[str, str] = {
                 AS ActivationActivityTypeKey,
             l_returnflag = 'N' AS IsConfirmed,
             l_shipdate AS ActivationActivityCreateDate
-        FROM {lineitem} WHERE l_linestatus = 'O'""",
+        FROM {lineitem}""",
     "src_activation_type": "SELECT r_regionkey AS ActivationTypeKey FROM {region}",
     "src_activation_activity_type": """
         SELECT n_nationkey AS ActivationActivityTypeKey,
@@ -168,7 +168,7 @@ STANDINS: dict[str, str] = {
         SELECT l_orderkey AS CustomerKey,
             CASE l_suppkey % 3 WHEN 0 THEN 8 WHEN 1 THEN 23 ELSE l_linenumber + 19 END AS refundreasonkey,
             CASE WHEN l_partkey % 4 = 0 THEN 'asked by phone' END AS comment
-        FROM {lineitem} WHERE l_returnflag = 'R' AND l_quantity < 9""",
+        FROM {lineitem} WHERE l_returnflag = 'R'""",
     "src_refund_reason": "SELECT n_nationkey AS refundreasonkey, n_name AS refundreason FROM {nation}",
     "src_activation_status": """
         SELECT n_nationkey * 5 + 25 AS activationstatuskey, 'Status ' || n_name AS activationstatus
