@@ -1,5 +1,6 @@
 """Loads every module that registers a query."""
 
 from . import (  # noqa: F401
-    decontamination, language, lines, minhash, mixing, repetition, resampling, sharding, substrings, urls,
+    decontamination, language, lines, minhash, mixing, packing, repetition, resampling, sharding, spelling, substrings, urls,
+    whitening,
 )

@@ -1,0 +1,129 @@
+"""Whitening against a direct computation, eigenvectors of hard matrices, and odd rows."""
+
+from __future__ import annotations
+
+import math
+import os
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+from activation_mart.llm import registry, whitening
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def turned(values, seed=0):
+    """A symmetric matrix with these eigenvalues, in extended precision, and its eigenvectors."""
+    size = len(values)
+    q = np.linalg.qr(np.random.default_rng(seed).normal(size=(size, size)))[0].astype(np.longdouble)
+    for _ in range(3):
+        q = q @ (3 * np.eye(size) - q.T @ q) / 2
+    return (q * np.array(values, np.longdouble)) @ q.T, q
+
+
+def residual(matrix, values, vectors):
+    scale = max(1.0, float(np.abs(matrix).max()))
+    return (
+        float(np.abs(matrix.astype(float) @ vectors - vectors * values).max()) / scale,
+        float(np.abs(vectors.T @ vectors - np.eye(len(values))).max()),
+    )
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        [9, 7, 5, 3, 1], [5, 5, 5, 2, 2, 1], [3, 3 + 1e-9, 3 - 1e-9, 1, 1 + 1e-11, 0.5], [1e6, 1e6 - 1e-3, 1, 1e-6, 0, 0],
+        [4] * 6, [0, 0, 0], [2], list(1 + np.arange(40) * 1e-10) + list(range(2, 20)),
+    ],
+)
+def test_eigenvectors(values):
+    matrix, _ = turned(values)
+    found, vectors = whitening.eigen(matrix)
+    assert np.allclose(found, sorted(values, reverse=True), rtol=1e-14, atol=1e-15 * max(1, max(values)))
+    assert max(residual(matrix, found, vectors)) < 1e-14
+    assert all(v[np.abs(v).argmax()] > 0 for v in vectors.T)
+
+
+def test_vectors_of_near_equal_values_are_told_apart():
+    values = [3, 3 - 1e-6, 3 - 2e-6, 1, 0.5]
+    matrix, q = turned(values, 3)
+    _, vectors = whitening.eigen(matrix)
+    assert np.abs(np.abs((q.T @ vectors).astype(float)) - np.eye(5)).max() < 1e-11  # float32 alone: about 1e-1
+
+
+def test_exact_products():
+    rng = np.random.default_rng(1)
+    for most in (3, 1 << 20, 1 << 24, 1 << 31):
+        rows = rng.integers(-most, most, (500, 3))
+        wide = rows.astype(object)
+        assert (whitening.exact_products(rows) == wide.T @ wide).all()
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the driver's tables")
+def test_against_numpy(spark):
+    table = pq.read_table(f"{FOLDER}/embeddings.parquet").to_pydict()
+    x = np.floor(64 * np.array(table["embedding"], float)).astype(np.int64) + whitening.ORIGIN
+    fit = np.unique(x, axis=0)
+    n, total = len(fit), fit.sum(axis=0)
+    centred = fit - total / n
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    white = (x - total / n) @ vectors / np.sqrt(values)
+    rows = registry.queries()["op11_embedding_whitening"](spark, FOLDER).collect()
+    assert len(rows) == 16 * len(x)
+    place = {key: i for i, key in enumerate(table["vec_id"])}
+    found = np.zeros((len(x), 16))
+    for row in rows:
+        i, k = place[row["vec_id"]], row["component"] - 1
+        found[i, k] = row["whitened"]
+        assert row["n"] == n and row["identity_error"] < 1e-10
+        assert row["deviation"] == sum((n * int(a) - int(s)) ** 2 for a, s in zip(x[i], total))
+        assert math.isclose(row["explained"], values[k] / values.sum(), rel_tol=1e-12)
+    signs = np.sign((found * white[:, :16]).sum(axis=0))
+    assert np.abs(found * signs - white[:, :16]).max() < 1e-9
+
+
+SCHEMA = "vec_id bigint, embedding array<float>, deviation string, whitened int, __grid string, key int"
+
+
+def frame(spark, vectors):
+    return spark.createDataFrame([(key, v, "d", 1, "g", 2) for key, v in vectors], SCHEMA)
+
+
+def test_odd_rows(spark):
+    vectors = [
+        (1, [0.5, 0.25, 0.0]), (2, [0.5, 0.25, 0.0]), (3, [1.0, -2.0, 0.0]), (None, [3.0, 0.1, 0.0]), (4, None), (5, []),
+        (6, [1.0, None, 2.0]), (7, [float("nan"), 0.0, 0.0]), (8, [float("inf"), 0.0, 0.0]), (9, [1.0, 2.0]),
+        (3, [1.0, -2.0, 0.0]), (10, [3e38, 0.0, 0.0]),
+    ]
+    docs = frame(spark, vectors)
+    fitted = whitening.fit(docs)
+    assert fitted.n == 3 and fitted.identity_error < 1e-10
+    assert fitted.values[2] == 0 and (fitted.values[:2] > 0).all()
+    rows = whitening.whiten(docs, fitted).collect()
+    assert sorted(r["vec_id"] or 0 for r in rows) == [0, 1, 2, 3, 3]
+    assert all(len(r["whitened"]) == 3 and r["whitened"][2] is None for r in rows)
+    by_key = {r["vec_id"]: r for r in rows}
+    assert by_key[1]["whitened"][:2] == pytest.approx(by_key[2]["whitened"][:2]) and by_key[1]["deviation"] == by_key[2]["deviation"]
+
+
+def test_one_vector_and_none(spark):
+    one = frame(spark, [(1, [0.5, 0.25])] * 3)
+    rows = whitening.whiten(one, whitening.fit(one)).collect()
+    assert [(r["vec_id"], r["deviation"], r["whitened"]) for r in rows] == [(1, 0, [None, None])] * 3
+    none = frame(spark, [(1, None)])
+    assert whitening.fit(none) is None and whitening.whiten(none, None).count() == 0
+    assert whitening.fit(none.limit(0)) is None
+
+
+def test_deviation_beyond_a_long_is_null():
+    fitted = whitening.Whitening(1 << 30, np.zeros(1, np.int64), [0], np.ones(1), np.ones((1, 1)), 1.0)
+    assert fitted.deviations(np.array([[1], [3], [1 << 30]])) == [1 << 60, None, None]
+
+
+def test_queries_of_empty_tables(spark, tmp_path):
+    frame(spark, []).write.parquet(f"{tmp_path}/embeddings.parquet")
+    out = registry.queries()["op11_embedding_whitening"](spark, str(tmp_path))
+    assert out.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"] and out.count() == 0
