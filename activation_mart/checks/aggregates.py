@@ -125,7 +125,7 @@ def _(t):
                ORDER BY CreateDate DESC, CustomerKey DESC) AS rn FROM src_customer) WHERE rn = 1""",
 )
 def _(t):
-    return latest_one(_cards(t), "AccountKey", ["CreateDate", "CustomerKey"])
+    return latest_one(_cards(t), "AccountKey", ["CreateDate", "CustomerKey"], row_id="CustomerKey")
 
 
 @check(

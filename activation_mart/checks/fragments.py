@@ -48,7 +48,7 @@ FRAGMENTS["x_extract"] = """
     JOIN src_product p ON c.ProductKey = p.ProductKey
     JOIN src_bank b ON p.BankKey = b.BankKey
     WHERE c.AccountKey IS NOT NULL AND p.ourcardtypekey = 1
-      AND coalesce(c.SecretWord, '') NOT ILIKE 'NECTEST%'
+      AND coalesce(c.SecretWord, '') NOT ILIKE 'PROBETEST%'
       AND coalesce(c.FirstName, '') NOT ILIKE 'test%'
       AND coalesce(c.LastName, '') NOT ILIKE 'test%'
       AND coalesce(c.Address1, '') NOT ILIKE '%12 sample plaza%'

@@ -6,13 +6,16 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import RunWindow
-from ..operators import apply_left, drift, keyed_patch, latest_with_ties
+from ..operators import apply_left, drift, keyed_patch, latest_with_ties, repeated_rows
 from ..plans import backfill, build_initial, run_add, run_update
 from ..plans.audits import (
+    DRIFT_PARTS,
     address_check,
+    drift_report,
     duplicate_audit,
     exceptions,
     failed_then_approved,
+    repeated_cards,
     step_distribution,
     unresolved,
 )
@@ -26,7 +29,7 @@ from ..plans.checks import (
     quiz_column,
     refresh_bank,
 )
-from ..plans.extract import account_extract, latest_signup, new_only
+from ..plans.extract import account_extract, latest_signups, new_only
 from ..plans.identity import latest_check
 from ..plans.online import all_failures, failure_facts, online_steps, reclassified_failures
 from ..plans.retail import (
@@ -105,14 +108,14 @@ def _(t):
         FROM x_signup_initial LEFT JOIN x_block_initial USING (AccountKey)""",
 )
 def _(t):
-    signups = latest_signup(account_extract(t.sources, INITIAL_WINDOW, CONFIG))
+    signups = latest_signups(t.sources, INITIAL_WINDOW, CONFIG)
     blocks = block_per_account(t.sources, INITIAL_BLOCK_WINDOW, cfg=CONFIG)
     return apply_left(signups, blocks, "AccountKey")
 
 
 @check("d07_assemble_master", f"SELECT {MASTER} FROM x_rows_add")
 def _(t):
-    signups = new_only(latest_signup(account_extract(t.sources, ADD_WINDOW, CONFIG)), t.master)
+    signups = new_only(latest_signups(t.sources, ADD_WINDOW, CONFIG), t.master)
     rows = assemble(signups, t.sources, ADD_WINDOW, CONFIG, restrict=True)
     return rows.select(*config.MASTER_COLUMNS)
 
@@ -129,7 +132,12 @@ def _(t):
 
 @check(
     "d10_failed_quiz",
-    "SELECT AccountKey, LastIdentityValidationKey, QuizResultCode, RiskValue FROM x_held_quiz",
+    """SELECT c.AccountKey, c.LastIdentityValidationKey, q.QuizResultCode, r.RiskValue
+       FROM x_held_cust c
+       JOIN src_quiz q ON q.IdentityValidationKey = c.LastIdentityValidationKey
+       JOIN (SELECT IdentityValidationKey, max(RiskValue) AS RiskValue FROM src_risk GROUP BY ALL) r
+         ON r.IdentityValidationKey = q.IdentityValidationKey
+       WHERE lower(q.QuizResultCode) IN ('refer_incomplete', 'refer')""",
 )
 def _(t):
     accounts = _online(t).select("AccountKey", "LastIdentityValidationKey")
@@ -298,21 +306,45 @@ def _(t):
     )
 
 
+_KEPT = """(SELECT * EXCLUDE (r) FROM (
+        SELECT *, dense_rank() OVER (PARTITION BY AccountKey ORDER BY CreateDate DESC) AS r
+        FROM x_extract_initial) WHERE r = 1)"""
+_REPEATED = f"(SELECT AccountKey, count(*) AS cnt FROM {_KEPT} GROUP BY AccountKey HAVING count(*) > 1)"
+
+
+def _kept(t):
+    """Latest sign-ups with ties, as a master that keeps them would hold them."""
+    return latest_with_ties(
+        account_extract(t.sources, INITIAL_WINDOW, CONFIG), "AccountKey", "CreateDate"
+    )
+
+
 @check(
     "d28_duplicate_audit",
-    """SELECT c.AccountKey, c.CustomerKey, c.ProductKey, c.CreateDate, c.CreditRatingKey, d.cnt,
+    f"""SELECT c.AccountKey, c.CustomerKey, c.ProductKey, c.CreateDate, c.CreditRatingKey, d.cnt,
            p.BankKey, p.isOnlineProduct, p.isatm
-       FROM (SELECT AccountKey, count(*) AS cnt FROM (
-                 SELECT AccountKey, dense_rank() OVER (PARTITION BY AccountKey ORDER BY CreateDate DESC) AS r
-                 FROM x_extract_initial) WHERE r = 1 GROUP BY AccountKey HAVING count(*) > 1) d
+       FROM {_REPEATED} d
        JOIN src_customer c ON c.AccountKey = d.AccountKey
        JOIN src_product p ON p.ProductKey = c.ProductKey""",
 )
 def _(t):
-    kept = latest_with_ties(
-        account_extract(t.sources, INITIAL_WINDOW, CONFIG), "AccountKey", "CreateDate"
-    )
-    return duplicate_audit(kept, t.sources)
+    return duplicate_audit(_kept(t), t.sources)
+
+
+@check(
+    "d28_duplicate_rows",
+    f"SELECT * FROM {_KEPT} WHERE AccountKey IN (SELECT AccountKey FROM {_REPEATED})",
+)
+def _(t):
+    return repeated_rows(_kept(t), "AccountKey")
+
+
+@check(
+    "d28_duplicate_resolved_cards",
+    f"SELECT * FROM x_cards WHERE AccountKey IN (SELECT AccountKey FROM {_REPEATED})",
+)
+def _(t):
+    return repeated_cards(_kept(t), t.sources, CONFIG)
 
 
 @check(
@@ -359,6 +391,32 @@ def _(t):
     return drift(t.master, fresh, "AccountKey", ["BlockCreditratingkey", "BlockDate"])
 
 
+def _changes(differs: str) -> str:
+    """Differing values of the three parts in long form, column by column."""
+    fresh = {
+        "identity": "x_fresh", "block": "x_block_update",
+        "balance": f"({balances('src_account_master')})",
+    }
+    return " UNION ALL ".join(
+        f"""SELECT m.AccountKey, '{part}' AS part, '{c}' AS field, CAST(m.{c} AS VARCHAR) AS old_value,
+            CAST(p.{c} AS VARCHAR) AS new_value
+        FROM src_account_master m JOIN {fresh[part]} p ON p.AccountKey = m.AccountKey
+        WHERE m.{c} {differs} p.{c}"""
+        for part, columns in DRIFT_PARTS.items()
+        for c in columns
+    )
+
+
+@check("d32_drift_parts", _changes("<>"))
+def _(t):
+    return drift_report(t.master, t.sources, UPDATE_WINDOW, CONFIG)
+
+
+@check("d32_drift_parts_null_safe", _changes("IS DISTINCT FROM"))
+def _(t):
+    return drift_report(t.master, t.sources, UPDATE_WINDOW, CONFIG, null_safe=True)
+
+
 @check(
     "d33_unresolved",
     """SELECT f.* FROM x_held_fail f JOIN x_held_onlinestep s ON s.AccountKey = f.AccountKey

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import apply_inner, apply_left, null_aware_anti
 from ..plans.block import latest_blocks
 from ..plans.cards import balance_patch, card_resolution
-from ..plans.extract import account_extract, latest_signup, new_only
+from ..plans.extract import account_extract, latest_signups, new_only
 from ..plans.identity import latest_check
 from ..sources.standin import ADD_WINDOW, CONFIG, INITIAL_BLOCK_WINDOW, INITIAL_WINDOW
 from .fragments import SIGNUP
@@ -56,7 +56,7 @@ def _(t):
          ON a.AccountKey = s.AccountKey AND a.attempt = 1""",
 )
 def _(t):
-    signups = latest_signup(account_extract(t.sources, INITIAL_WINDOW, CONFIG))
+    signups = latest_signups(t.sources, INITIAL_WINDOW, CONFIG)
     first = latest_blocks(t.sources, INITIAL_BLOCK_WINDOW, cfg=CONFIG)
     return signups.join(first, "AccountKey", "left").select(
         "AccountKey", "CreateDate", "CreditRatingKey", "ChangeDate", "FullName"
@@ -151,7 +151,7 @@ _SIGNUP_CARDS = "AccountKey, CreateDate, Channel, TCustomerkey, PCustomerkey, VC
     f"SELECT {_SIGNUP_CARDS} FROM x_signup_initial JOIN x_cards USING (AccountKey)",
 )
 def _(t):
-    signups = latest_signup(account_extract(t.sources, INITIAL_WINDOW, CONFIG))
+    signups = latest_signups(t.sources, INITIAL_WINDOW, CONFIG)
     return apply_inner(signups, card_resolution(t.sources, CONFIG), "AccountKey").select(
         *_SIGNUP_CARDS.split(", ")
     )
@@ -166,7 +166,7 @@ _SIGNUP_CHECKS = f"{SIGNUP}, LastIdentityValidationKey, VerificationStatusType,
 )
 def _(t):
     signups = new_only(
-        latest_signup(account_extract(t.sources, ADD_WINDOW, CONFIG)), t.master
+        latest_signups(t.sources, ADD_WINDOW, CONFIG), t.master
     )
     return apply_left(signups, latest_check(t.sources), "AccountKey").select(
         *_SIGNUP_CHECKS.split(", ")
@@ -182,7 +182,7 @@ def _(t):
 
 @check("d03_latest_signup", "SELECT * FROM x_signup_initial")
 def _(t):
-    return latest_signup(account_extract(t.sources, INITIAL_WINDOW, CONFIG))
+    return latest_signups(t.sources, INITIAL_WINDOW, CONFIG)
 
 
 @check(
@@ -190,7 +190,7 @@ def _(t):
     f"SELECT {_SIGNUP_CHECKS} FROM x_signup_initial LEFT JOIN x_check USING (AccountKey)",
 )
 def _(t):
-    signups = latest_signup(account_extract(t.sources, INITIAL_WINDOW, CONFIG))
+    signups = latest_signups(t.sources, INITIAL_WINDOW, CONFIG)
     return apply_left(signups, latest_check(t.sources), "AccountKey").select(
         *_SIGNUP_CHECKS.split(", ")
     )

@@ -23,7 +23,7 @@ from ..operators import (
     with_surrogate_key,
 )
 from ..plans import build_initial
-from ..plans.extract import SIGNUP_COLUMNS, account_extract, latest_signup
+from ..plans.extract import SIGNUP_COLUMNS, account_extract, latest_signups
 from ..plans.runs import assemble
 from ..sources import activity_type_order
 from ..sources.standin import ADD_WINDOW, CONFIG, INITIAL_BLOCK_WINDOW, INITIAL_WINDOW
@@ -69,7 +69,7 @@ def _(t):
         UNION ALL SELECT {MASTER}, {STEP_COLUMNS} FROM x_rows_add""",
 )
 def _(t):
-    signups = latest_signup(account_extract(t.sources, ADD_WINDOW, CONFIG))
+    signups = latest_signups(t.sources, ADD_WINDOW, CONFIG)
     return append_new(t.master, assemble(signups, t.sources, ADD_WINDOW, CONFIG), "AccountKey")
 
 
@@ -182,7 +182,7 @@ def _(t):
 @check(
     "p03_exclude_patterns",
     """SELECT CustomerKey, SecretWord, FirstName, LastName, Address1, Email FROM src_customer
-       WHERE coalesce(SecretWord, '') NOT ILIKE 'nectest%' AND coalesce(FirstName, '') NOT ILIKE 'test%'
+       WHERE coalesce(SecretWord, '') NOT ILIKE 'probetest%' AND coalesce(FirstName, '') NOT ILIKE 'test%'
          AND coalesce(LastName, '') NOT ILIKE 'test%'
          AND coalesce(Address1, '') NOT ILIKE '%12 sample plaza%'
          AND coalesce(ResidentialAddress1, '') NOT ILIKE '%12 sample plaza%'

@@ -125,13 +125,14 @@ RESIDENTIAL_ADDRESS, MAILING_ADDRESS = 2, 1
 class TestAccountRules:
     """LIKE patterns, per customer column, of accounts opened for testing.
 
-    The house street address and e-mail domain differ per site and have no
-    default: give them as ``house_addresses`` / ``house_emails``.
+    The secret word of test accounts, the house street address and the e-mail
+    domain differ per site and have no default: give them as ``secret_words``,
+    ``house_addresses`` and ``house_emails``.
     """
 
     __test__ = False
 
-    secret_words: tuple[str, ...] = ("NECTEST%",)
+    secret_words: tuple[str, ...] = ()
     names: tuple[str, ...] = ("test%",)
     house_addresses: tuple[str, ...] = ()
     house_emails: tuple[str, ...] = ()

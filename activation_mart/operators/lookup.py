@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 NULL_SPREAD = 1024
+FREQUENT_SPREAD = 64
 SPREAD = "__spread"
 
 
@@ -76,22 +79,33 @@ def null_aware_anti(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Rows of ``left`` whose key is NOT IN the keys of ``right``, with SQL's NULL rules.
 
     A NULL on the right leaves nothing; a NULL on the left passes only an empty
-    right. Two counts decide that, so the right side never has to be broadcast.
+    right. The right side is read once: its distinct keys, NULL among them, are
+    settled, and whether there are any, and NULL is one, decides what is left to
+    do. The keys never have to be broadcast, and rows without a key are not
+    dealt by it.
     """
-    keys = right.select(F.col(key).alias("__key"))
-    rows = keys.agg(F.count(F.lit(1))).scalar()
-    nulls = keys.agg(F.count_if(F.col("__key").isNull())).scalar()
-    spread = _spread_of_nulls(key, f"struct({', '.join(left.columns)})")
-    unmatched = (
-        left.withColumn("__left_spread", spread)
-        .join(
-            with_spread(keys, "__key").distinct(),
-            F.expr(f"{key} = __key AND __left_spread = {SPREAD}"),
-            "left_anti",
-        )
-        .drop("__left_spread")
-    )
-    return unmatched.filter((rows == 0) | ((nulls == 0) & F.col(key).isNotNull()))
+    keys = settle(right.select(F.col(key).alias("__key")).distinct(), "keys")
+    some, null = keys.agg(F.count(F.lit(1)) > 0, F.count_if(F.col("__key").isNull()) > 0).first()
+    if not some:
+        return left
+    keyed = left.filter(F.lit(not null) & F.col(key).isNotNull())
+    return keyed.join(keys, F.col(key) == F.col("__key"), "left_anti")
+
+
+def spread_lookup(
+    left: DataFrame, rows: DataFrame, key: str, row_key: str, spread_by: str, spread: int = FREQUENT_SPREAD
+) -> DataFrame:
+    """Left join ``rows``, one per key and few, on a column of ``left`` in which a value or NULL may be frequent.
+
+    Every row of ``left`` gets one of ``spread`` numbers from ``spread_by``, and
+    each of ``rows`` stands once under each of them: no value of the key, and no
+    lack of one, is a single task.
+    """
+    numbers = F.sequence(F.lit(0), F.lit(spread - 1))
+    copies = rows.withColumnRenamed(row_key, "__row_key").withColumn("__copy", F.explode(numbers))
+    salted = left.withColumn("__salt", F.expr(f"pmod(hash({spread_by}), {spread})"))
+    match = F.expr(f"{key} = __row_key AND __salt = __copy")
+    return salted.join(copies, match, "left").drop("__row_key", "__copy", "__salt")
 
 
 def union_distinct(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -19,12 +19,13 @@ def keyed_patch(
     where: str | None = None,
     flag: str | None = None,
     order: Sequence[str] = (),
+    once: bool = False,
 ) -> DataFrame:
     """Set ``columns`` where ``patch`` has the key.
 
     Of several patch rows with one key the one with the greatest ``order``
     values counts, by default the greatest values of ``columns``; rows of the
-    master are never multiplied.
+    master are never multiplied. ``once`` says that it has one row a key already.
 
     ``overwrite`` writes NULLs of the patch too; ``fill_null`` leaves columns
     that already hold a value. ``where`` limits the rows of the master, ``flag``
@@ -33,8 +34,10 @@ def keyed_patch(
     if mode not in ("overwrite", "fill_null"):
         raise ValueError(f"unknown patch mode: {mode}")
     types = {c: master.schema[c].dataType.simpleString() for c in columns}
-    once = latest_one(patch.select(*{key: 0, **dict.fromkeys([*columns, *order])}), key, [*dict.fromkeys([*order, *columns])])
-    news = once.selectExpr(
+    rows = patch.select(*{key: 0, **dict.fromkeys([*columns, *order])})
+    if not once:
+        rows = latest_one(rows, key, [*dict.fromkeys([*order, *columns])])
+    news = rows.selectExpr(
         key, "true AS __found",
         *(f"CAST({c} AS {data_type}) AS __new_{c}" for c, data_type in types.items()),
     )

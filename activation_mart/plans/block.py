@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions import RunWindow, code_needs_trusted_user, folded, in_window, same_text_in
 from ..operators import latest_one, latest_with_ties, rows_at_latest, with_attempt
+from ..session import settle
 from ..sources import Sources
 
 BLOCK_COLUMNS = ("BlockCreditratingkey", "BlockDate", "BlockUser")
@@ -32,6 +33,7 @@ def latest_block_changes(
         history = history.filter(in_window("ChangeDate", window))
     if customers is not None:
         history = history.join(customers.select("CustomerKey"), "CustomerKey", "left_semi")
+    history = settle(history, "block-changes")  # looked at twice
     latest = rows_at_latest(
         history, "CustomerKey", "ChangeDate",
         same_text_in("CreditRatingKey", config.LATEST_BLOCK_CODES),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions import ci_eq, same_text_in
-from ..operators import SPREAD, has_row, left_lookup, only_keys, set_where, with_spread
+from ..operators import SPREAD, has_row, left_lookup, only_keys, set_where, spread_lookup, with_spread
 from ..sources import Sources
 
 KEY = "IdentityValidationKey"
@@ -121,17 +121,19 @@ def current_banks(src: Sources) -> DataFrame:
 
 def bank_changes(master: DataFrame, src: Sources) -> DataFrame:
     """Accounts whose product belongs to another bank by now."""
-    return (
-        master.select("AccountKey", "ProductKey", "BankKey")
-        .join(current_banks(src), "ProductKey")
-        .filter("BankKey <> newbankkey")
-    )
+    accounts = master.select("AccountKey", "ProductKey", "BankKey").filter("ProductKey IS NOT NULL")
+    return _with_banks(accounts, src).filter("BankKey <> newbankkey")
+
+
+def _with_banks(accounts: DataFrame, src: Sources) -> DataFrame:
+    """Accounts with their product's bank now; a frequent product, or none, is dealt to many tasks."""
+    banks = current_banks(src).withColumnRenamed("ProductKey", "__product")
+    return spread_lookup(accounts, banks, "ProductKey", "__product", "AccountKey")
 
 
 def refresh_bank(master: DataFrame, src: Sources) -> DataFrame:
     """Master with the bank of each account's current product, where that has one."""
-    banks = current_banks(src).withColumn("__found", F.lit(True))
-    joined = master.join(banks, "ProductKey", "left")
+    joined = _with_banks(master, src)
     for column, news in (("BankKey", "newbankkey"), ("BankName", "newbankname")):
-        joined = set_where(joined, column, F.col(news), F.col("__found"))
+        joined = set_where(joined, column, F.col(news), F.col("newbankkey").isNotNull())
     return joined.select(*master.columns)

@@ -35,13 +35,21 @@ def retail_customers(src: Sources, only: DataFrame | None = None) -> DataFrame:
     )
 
 
+#: What the ladder, its quiz override and the reports need of an account.
+ACCOUNT_COLUMNS = (
+    "AccountKey", "VCustomerkey", "LastIdentityValidationKey", "VerificationStatusType",
+    "CardActivationDate", "DOB", "CellPhone", "HomePhone", "ResidentialAddress1",
+    "ResidentialZipcode",
+)
+
+
 def retail_candidates(accounts: DataFrame, src: Sources) -> DataFrame:
     """Retail accounts with their customer, status and refunds: one row per refund, at least one.
 
     Refunds meet the settled accounts in an inner join by themselves, which the
     adaptive skew join can split where one customer has very many; it could not
     split a left join on that side, nor a join on top of another. Accounts
-    without refunds are added.
+    without refunds are added. Settled are the columns that the ladder reads.
     """
     customers = retail_customers(src).withColumnRenamed("CustomerKey", "VCustomerkey")
     refunds = src["refund"].select(
@@ -49,7 +57,7 @@ def retail_candidates(accounts: DataFrame, src: Sources) -> DataFrame:
     )
     years = F.lit(12).cast("decimal(3,1)")
     known = settle(
-        accounts.join(customers, "VCustomerkey")
+        accounts.select(*ACCOUNT_COLUMNS).join(customers, "VCustomerkey")
         .join(src["activation_status"], "activationstatuskey", "left")
         .withColumn("CH_Age", (F.col("age_months") / years).cast("decimal(17,6)"))
         .withColumn("Parent_Age", (F.col("parent_age_months") / years).cast("decimal(17,6)")),
@@ -148,14 +156,9 @@ def retail_step() -> Column:
 
 def retail_steps(accounts: DataFrame, src: Sources) -> DataFrame:
     """Step, possibly NULL, of each given retail account that has a customer row."""
-    columns = (
-        "AccountKey", "VCustomerkey", "LastIdentityValidationKey", "VerificationStatusType",
-        "CardActivationDate", "DOB", "CellPhone", "HomePhone", "ResidentialAddress1",
-        "ResidentialZipcode",
-    )
     customers = retail_customers(src).withColumn("customer_found", F.lit(True))
     facts = left_lookup(
-        with_check_facts(accounts.select(*columns), src),
+        with_check_facts(accounts.select(*ACCOUNT_COLUMNS), src),
         [customers, refund_flags(src)], "VCustomerkey", "CustomerKey", "AccountKey",
     )
     return facts.filter("customer_found").select(

@@ -17,20 +17,17 @@ from ..operators import (
 )
 from ..session import settle
 from ..sources import Sources
+from .audits import BLOCK_COLUMNS, CHECK_COLUMNS
 from .block import block_per_account
-from .cards import card_balances, card_resolution
-from .changes import all_changes, changed_accounts
-from .checks import may_be_internal, refresh_bank, with_check_facts
-from .extract import account_extract, latest_signup, new_only
+from .cards import BALANCE_COLUMNS, balance_patch, card_resolution, cards_of
+from .changes import CHECK, RATING, STATUS, all_changes, changed_accounts
+from .checks import internal_lookup, may_be_internal, quiz_column, refresh_bank, with_check_facts
+from .extract import latest_signups, new_only
 from .identity import latest_check
-from .online import failure_flags, online_step
-from .retail import refund_flags, retail_customers, retail_step
+from .online import failure_flags, online_step, online_steps
+from .retail import refund_flags, retail_customers, retail_step, retail_steps
 
-CHECK_PATCH_COLUMNS = (
-    "LastIdentityValidationKey", "VerificationStatusType", "LastAttemptValue",
-    "TCustomerkey", "PCustomerkey", "VCustomerkey", "CardActivationDate",
-)
-BLOCK_PATCH_COLUMNS = ("BlockCreditratingkey", "BlockDate", "BlockUser")
+CHECK_PATCH_COLUMNS, BLOCK_PATCH_COLUMNS = CHECK_COLUMNS, BLOCK_COLUMNS
 
 
 def assemble(
@@ -65,7 +62,7 @@ def build_initial(
 
     One row per account by construction, hence no pass to remove equal rows.
     """
-    signups = latest_signup(account_extract(src, window, cfg))
+    signups = latest_signups(src, window, cfg)
     rows = assemble(signups, src, block_window or window, cfg)
     return with_surrogate_key(rows, config.SURROGATE_COLUMN, ["AccountKey"])
 
@@ -142,6 +139,29 @@ def backfill(master: DataFrame, src: Sources, online_window: RunWindow) -> DataF
     return refresh_bank(classified, src)
 
 
+def backfill_online(master: DataFrame, src: Sources, window: RunWindow) -> DataFrame:
+    """Step of the window's online accounts that have none."""
+    accounts = master.filter(_is(config.ONLINE) & in_window("CreateDate", window))
+    steps = online_steps(accounts, src)
+    return keyed_patch(master, steps, "AccountKey", [config.STEP_COLUMN], "fill_null", once=True)
+
+
+def backfill_retail(master: DataFrame, src: Sources) -> DataFrame:
+    """Step of all retail accounts, NULL where no rung holds."""
+    steps = retail_steps(master.filter(_is(config.RETAIL)), src)
+    return keyed_patch(master, steps, "AccountKey", [config.STEP_COLUMN], once=True)
+
+
+def backfill_quiz(master: DataFrame, src: Sources) -> DataFrame:
+    """Quiz result of all accounts whose check had a quiz."""
+    return keyed_patch(master, quiz_column(master, src), "AccountKey", [config.QUIZ_COLUMN], once=True)
+
+
+def tag_internal(master: DataFrame, src: Sources) -> DataFrame:
+    """Tag of all accounts approved by the internal look-up."""
+    return keyed_patch(master, internal_lookup(master, src), "AccountKey", ["LastAttemptValue"], once=True)
+
+
 def run_add(
     src: Sources,
     master: DataFrame,
@@ -153,7 +173,7 @@ def run_add(
     Only new accounts, accounts of the window and unclassified online accounts
     are looked up; all others pass from scan to result without a shuffle.
     """
-    signups = settle(new_only(latest_signup(account_extract(src, window, cfg)), master), "signups")
+    signups = settle(new_only(latest_signups(src, window, cfg), master), "signups")
     rows = assemble(signups, src, window, cfg, restrict=True)
     if config.SURROGATE_COLUMN in master.columns:
         last = master.agg(F.max(config.SURROGATE_COLUMN)).first()[0] or 0
@@ -186,19 +206,23 @@ def run_update(
 
     Order matters: checks set the card keys that balances and steps read, and
     may reset the last attempt value before the internal tag is set again.
+    Customers are read four times, whatever changed: for the changes, once for
+    all cards of the changed accounts, and by key for steps and for balances.
     """
     changes = settle(all_changes(src, window), "changes")
-    touched = master.join(changed_accounts(changes), "AccountKey")
-    untouched = master.join(changes, "AccountKey", "left_anti")  # keyless rows among them
-
-    checked = _patch_checks(touched, changes, src, cfg)
-    rated = changes.filter("rating_changed")
-    blocks = block_per_account(src, customers=rated, cfg=cfg)
-    blocked = keyed_patch(checked, blocks, "AccountKey", BLOCK_PATCH_COLUMNS)
-    balanced = settle(_patch_balances(blocked, src), "changed-master")
+    accounts = settle(changed_accounts(changes), "changed-accounts")
+    touched = master.join(accounts, "AccountKey")
+    untouched = master.join(accounts, "AccountKey", "left_anti")  # keyless rows among them
+
+    held = cards_of(src, accounts)
+    checked = _patch_checks(touched, accounts.filter(CHECK), held, cfg)
+    blocks = block_per_account(held, customers=changes.filter(RATING), cfg=cfg)
+    blocked = settle(
+        keyed_patch(checked, blocks, "AccountKey", BLOCK_PATCH_COLUMNS, once=True), "changed-master"
+    )
     rechecked = F.col("__rechecked")
     classified = classify(
-        balanced, src,
+        blocked, src,
         online=_is(config.ONLINE) & rechecked,
         retail=_is(config.RETAIL) & rechecked,
         quiz=rechecked,
@@ -206,36 +230,18 @@ def run_update(
         fill_online=False,
         settled=True,
     )
-    return untouched.unionByName(classified.select(*master.columns))
+    # No step looks at a balance, so these come last; they read the cards that the checks have set.
+    balances = balance_patch(blocked.filter(STATUS), src)
+    balanced = keyed_patch(classified, balances, "AccountKey", BALANCE_COLUMNS, once=True)
+    return untouched.unionByName(balanced.select(*master.columns))
 
 
 def _patch_checks(
-    accounts: DataFrame, changes: DataFrame, src: Sources, cfg: config.MartConfig
+    accounts: DataFrame, rechecked: DataFrame, src: Sources, cfg: config.MartConfig
 ) -> DataFrame:
-    rechecked = changes.filter("check_changed")
     fresh = apply_inner(
         latest_check(src, rechecked), card_resolution(src, cfg, rechecked), "AccountKey"
     )
     return keyed_patch(
-        accounts, fresh, "AccountKey", CHECK_PATCH_COLUMNS, where="check_changed", flag="__rechecked"
+        accounts, fresh, "AccountKey", CHECK_PATCH_COLUMNS, where=CHECK, flag="__rechecked", once=True
     )
-
-
-def _patch_balances(accounts: DataFrame, src: Sources) -> DataFrame:
-    """Both cards must exist, otherwise neither is refreshed."""
-    out = accounts
-    for role in ("P", "T"):
-        cards = card_balances(src).selectExpr(
-            "CustomerKey", f"true AS __{role}",
-            f"CreditRatingKey AS __{role}_rating", f"CurrBalance AS __{role}_balance",
-        )
-        out = left_lookup(out, [cards], f"{role}Customerkey", "CustomerKey", "AccountKey")
-    patched = {
-        f"{role}{column}": F.expr(
-            f"CASE WHEN status_changed AND __P AND __T THEN __{role}_{part} ELSE {role}{column} END"
-        )
-        for role in ("P", "T")
-        for column, part in (("CreditRatingkey", "rating"), ("CurrBalance", "balance"))
-    }
-    added = [f"__{role}{part}" for role in ("P", "T") for part in ("", "_rating", "_balance")]
-    return out.withColumns(patched).drop(*added)

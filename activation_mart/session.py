@@ -1,9 +1,12 @@
-"""Session settings and frames kept in the shared folder."""
+"""Session settings, and frames that a run keeps in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # The keys of a run's changed accounts, too many to broadcast, still cut the large tables before their shuffle.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "512MB",
 }
 
 
@@ -30,41 +35,86 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return builder.getOrCreate()
 
 
+def named_folder(spark: SparkSession) -> str | None:
+    """The folder all executors share, as the session names it, if it does."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/") if folder else None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
     Only a local master may fall back to a folder of its own.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = named_folder(spark)
     if folder:
-        return folder.rstrip("/")
+        return folder
+    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="activation-mart-"))
     return context.getCheckpointDir().rstrip("/")
 
 
+class Scratch:
+    """What one run settles: a folder of its own, and the tables it registers."""
+
+    def __init__(self, spark: SparkSession, folder: str | None = None):
+        self.spark = spark
+        self.folder = f"{(folder or shared_folder(spark)).rstrip('/')}/activation-mart/run-{uuid.uuid4().hex}"
+        self.tables: list[str] = []
+
+    def path(self, label: str) -> str:
+        """A path that nothing else uses."""
+        return f"{self.folder}/{label}-{uuid.uuid4().hex}"
+
+    def owns_table(self, name: str) -> None:
+        """The table goes with the run; one that lies elsewhere goes with its data."""
+        self.tables.append(name)
+
+    def remove(self) -> None:
+        """Remove the tables and the folder, through the file system that holds it."""
+        while self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop()}")
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_running: ContextVar[Scratch | None] = ContextVar("activation_mart_scratch", default=None)
+
+
+@contextmanager
+def run_scope(spark: SparkSession, folder: str | None = None) -> Iterator[Scratch]:
+    """A run that owns what is settled inside it, and removes that at its end, also after a failure.
+
+    Results have to be written or collected inside, for they read what was
+    settled. Runs side by side, in threads or in tasks of an event loop, do not
+    see each other's; a run inside a run removes its own part earlier.
+    ``folder`` takes the place of the shared one.
+    """
+    scratch = Scratch(spark, folder)
+    token = _running.set(scratch)
+    try:
+        yield scratch
+    finally:
+        _running.reset(token)
+        scratch.remove()
+
+
+def current_scratch(spark: SparkSession) -> Scratch:
+    """That of the run around the caller; outside of a run one that nobody removes."""
+    return _running.get() or Scratch(spark)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write a frame that several branches read to the shared folder, and read it from there.
 
     Its rows no longer depend on executors staying alive or on being computed
     again alike; branches read only their columns, and its size is known, so
-    that Spark broadcasts it where, and only where, it is small.
+    that Spark broadcasts it where, and only where, it is small. The run around
+    it (``run_scope``) owns the files.
     """
     spark = df.sparkSession
-    folder = f"{shared_folder(spark)}/activation-mart/{label}-{uuid.uuid4().hex}"
-    _settled.append(folder)
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
-
-
-_settled: list[str] = []
-
-
-def remove_settled(spark: SparkSession) -> None:
-    """Remove what ``settle`` has written so far, once nothing reads it any more."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    while _settled:
-        path = hadoop.Path(_settled.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    path = current_scratch(spark).path(label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

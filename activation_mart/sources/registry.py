@@ -28,10 +28,22 @@ class Sources:
         """Catalog tables of any database, e.g. ``{'bank': 'ops.bank'}``."""
         return cls(spark, {n: lambda t=t: spark.table(t) for n, t in tables.items()})
 
+    @classmethod
+    def from_places(cls, spark: SparkSession, root: str | None, tables: Mapping[str, str]) -> "Sources":
+        """Catalog tables where named, all others from a folder, if there is one."""
+        folder = cls.from_parquet(spark, root)._loaders if root else {}
+        return cls(spark, folder | cls.from_tables(spark, tables)._loaders)
+
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> "Sources":
         return cls(spark, {n: lambda f=f: f for n, f in frames.items()})
 
+    def holding(self, **frames: DataFrame) -> "Sources":
+        """The same sources, with frames in place of some tables: rows and columns that a run still needs."""
+        out = Sources(self.spark, self._loaders)
+        out._frames = self._frames | frames
+        return out
+
     def get(self, name: str) -> DataFrame:
         if name not in self._frames:
             if name not in self._loaders:

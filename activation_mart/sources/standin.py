@@ -41,7 +41,7 @@ RAW_SCHEMAS = {
 
 CONFIG = config.MartConfig(
     test_accounts=config.TestAccountRules(
-        house_addresses=("%12 SAMPLE PLAZA%",), house_emails=("%@issuer.example%",)
+        secret_words=("PROBETEST%",), house_addresses=("%12 SAMPLE PLAZA%",), house_emails=("%@issuer.example%",)
     )
 )
 
@@ -65,7 +65,7 @@ STANDINS: dict[str, str] = {
             CAST(o_orderkey % 25 AS INT) AS ProductKey,
             'S' || CAST(o_orderkey AS STRING) AS SerialNbr,
             o_orderdate AS CreateDate,
-            CASE WHEN o_orderkey % 211 = 0 THEN 'NecTest one'
+            CASE WHEN o_orderkey % 211 = 0 THEN 'ProbeTest one'
                 WHEN o_orderkey % 3 <> 0 THEN 'word' END AS SecretWord,
             CASE WHEN o_orderkey % 223 = 0 THEN 'TESTER'
                 WHEN o_orderkey % 19 <> 0 THEN 'F' || CAST(o_orderkey % 997 AS STRING) END AS FirstName,
@@ -111,17 +111,19 @@ STANDINS: dict[str, str] = {
             CASE WHEN o_orderkey % 9 < 3 THEN 'Approved' WHEN o_orderkey % 9 = 3 THEN 'APPROVED '
                 WHEN o_orderkey % 9 < 8 THEN 'Declined' END AS VerificationStatusType,
             CASE o_orderkey % 4 WHEN 1 THEN 'Pass' WHEN 2 THEN 'Fail' END AS LastAttemptValue
-        FROM {orders} WHERE o_orderpriority <> '5-LOW'""",
+        FROM {orders}""",
+    # A negative key belongs to nobody: all rows are there, and some customers have no check.
     "src_identity_validation_customer": """
-        SELECT o_orderkey + 1000000 AS IdentityValidationKey, o_orderkey AS CustomerKey
-        FROM {orders} WHERE o_orderpriority <> '5-LOW'""",
+        SELECT o_orderkey + 1000000 AS IdentityValidationKey,
+            CASE WHEN o_orderkey % 5 = 4 THEN -o_orderkey ELSE o_orderkey END AS CustomerKey
+        FROM {orders}""",
     "src_identity_validation_status": """
         SELECT o_orderkey + 1000000 AS IdentityValidationKey,
             o_orderdate + INTERVAL '37' HOUR AS CreateDate,
             'C' || CAST(o_orderkey % 10 AS STRING) AS ValidationResultCode,
             CAST(o_orderkey % 2 AS INT) AS IdentityValidationStatusTypeKey,
             CAST(o_orderkey % 5 AS INT) AS IdentityValidationVendorKey
-        FROM {orders} WHERE o_orderpriority <> '5-LOW'""",
+        FROM {orders}""",
     "src_identity_validation_status_type": """
         SELECT r_regionkey AS IdentityValidationStatusTypeKey,
             'Status ' || r_name AS IdentityValidationStatusType FROM {region}""",
@@ -133,10 +135,11 @@ STANDINS: dict[str, str] = {
             CASE l_suppkey % 8 WHEN 0 THEN 'refer' WHEN 1 THEN 'REFER_incomplete'
                 WHEN 2 THEN NULL ELSE 'accept' END AS QuizResultCode
         FROM {lineitem}""",
+    # Several rows a check; those of a negative key leave checks without any.
     "src_risk": """
-        SELECT o_orderkey + 1000000 AS IdentityValidationKey,
-            'R' || CAST(o_orderkey % 3 AS STRING) AS RiskValue
-        FROM {orders} WHERE o_orderstatus <> 'P'""",
+        SELECT CASE WHEN l_orderkey % 3 = 2 THEN -l_orderkey ELSE l_orderkey + 1000000 END AS IdentityValidationKey,
+            'R' || CAST((l_orderkey + l_linenumber) % 3 AS STRING) AS RiskValue
+        FROM {lineitem}""",
     "src_rating_history": """
         SELECT l_orderkey AS CustomerKey, l_shipdate AS ChangeDate,
             CASE l_linenumber WHEN 1 THEN 'B5' WHEN 2 THEN 'P9' WHEN 3 THEN 'C5' WHEN 4 THEN 'B3'
@@ -178,7 +181,7 @@ STANDINS: dict[str, str] = {
             CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END AS addressTypekey,
             o_orderkey AS AddressStandardizationResultKey,
             o_orderdate + INTERVAL '90' MINUTE AS CreateDate
-        FROM {orders} WHERE o_orderstatus <> 'O'""",
+        FROM {orders}""",
     "src_address_result": """
         SELECT o_orderkey AS AddressStandardizationResultKey,
             CASE o_orderkey % 5 WHEN 0 THEN 'Verified' WHEN 1 THEN 'verified' WHEN 2 THEN 'Street'
@@ -222,7 +225,8 @@ STANDINS: dict[str, str] = {
         ) f ON f.AccountKey = c.AccountKey
         JOIN {src_product} p ON p.ProductKey = c.ProductKey
         JOIN {src_bank} b ON b.BankKey = p.BankKey
-        LEFT JOIN {src_identity_validation} v ON v.IdentityValidationKey = c.CustomerKey + 1000000
+        LEFT JOIN {src_identity_validation} v
+            ON v.IdentityValidationKey = c.CustomerKey + 1000000 AND c.CustomerKey % 5 <> 4
         WHERE c.rn = 1""",
 }
 

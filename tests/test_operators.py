@@ -11,6 +11,7 @@ from activation_mart.operators import (
     apply_inner,
     apply_left,
     drift,
+    drift_by_column,
     duplicates,
     first_match,
     keyed_patch,
@@ -20,8 +21,10 @@ from activation_mart.operators import (
     null_aware_anti,
     only_keys,
     preview,
+    repeated_rows,
     rows_at_latest,
     set_where,
+    spread_lookup,
     top_n,
     union_distinct,
     with_attempt,
@@ -189,3 +192,45 @@ def test_previews(spark):
     df = spark.range(50)
     assert preview(df, 5).count() == 5
     assert [row[0] for row in top_n(df, 3, [F.col("id").desc()]).collect()] == [49, 48, 47]
+
+
+ORDERED = [
+    (None, None), (None, 5), (datetime(1969, 12, 31, 23, 59, 59, 999999), 1), (datetime(1970, 1, 1), -(2**63)),
+    (datetime(1970, 1, 1), 2**63 - 1), (datetime(2012, 3, 25, 2, 30), 3), (datetime(2012, 3, 25, 2, 30), None),
+    (datetime(9999, 12, 31, 23, 59, 59, 999999), 2**63 - 1), (datetime(1, 1, 1), -(2**63)),
+]
+
+
+def test_latest_one_alike_in_all_forms(spark):
+    """Hash aggregate, late fetch and sort choose the same rows, at the ends of the types too."""
+    rows = [(k, t, n, i, f"v{i}") for i, (k, (t, n)) in enumerate((k, o) for k in (1, 2, None) for o in ORDERED[: 9 if k else 4])]
+    rows += [(3, None, None, 90, "v90"), (4, *ORDERED[5], 91, "v91"), (4, *ORDERED[6], 92, "v92")]
+    df = spark.createDataFrame(rows, "k int, t timestamp_ntz, n bigint, row int, v string")
+    wide = tuples(latest_one(df, "k", ["t", "n"]), "k", "row")
+    assert wide == tuples(latest_one(df, "k", ["t", "n"], row_id="row"), "k", "row")
+    assert wide == tuples(latest_one(df.drop("v"), "k", ["t", "n"]), "k", "row")
+    assert (3, 90) in wide and (4, 91) in wide
+
+
+def test_spread_lookup(spark):
+    left = spark.createDataFrame([(i, None if i % 3 == 0 else i % 3) for i in range(30)] + [(None, 1)], "a int, k int")
+    found = tuples(spread_lookup(left, spark.createDataFrame([(1, "one")], "f int, v string"), "k", "f", "a", 4))
+    assert found == sorted([(i, None, None) if i % 3 == 0 else (i, i % 3, "one" if i % 3 == 1 else None) for i in range(30)] + [(None, 1, "one")], key=repr)
+
+
+def test_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "k int, v string")
+    assert tuples(repeated_rows(df, "k"), "v") == [("a",), ("b",)]
+
+
+def test_drift_by_column(spark):
+    master = spark.createDataFrame([(1, "a", 1, None), (2, "b", 2, "x"), (3, "c", 3, "y")], "k int, p int_text, q int, r string".replace("int_text", "string"))
+    fresh = spark.createDataFrame(
+        [(1, True, None, "A", 1, "new"), (2, True, True, None, 5, None), (4, True, True, "z", 9, "z")],
+        "k int, one boolean, two boolean, p string, q int, r string",
+    )
+    sets = {"one": ["p", "q"], "two": ["r"]}
+    assert tuples(drift_by_column(master, fresh, "k", sets)) == [(1, "one", "p", "a", "A"), (2, "one", "q", "2", "5")]
+    assert tuples(drift_by_column(master, fresh, "k", sets, null_safe=True)) == [
+        (1, "one", "p", "a", "A"), (2, "one", "p", "b", None), (2, "one", "q", "2", "5"), (2, "two", "r", "x", None)
+    ]

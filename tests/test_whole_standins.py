@@ -8,8 +8,26 @@ from activation_mart.sources.standin import StandinTables
 
 
 @pytest.mark.parametrize(
-    "name, rows", [("src_quiz", "true"), ("src_activation_activity", "true"), ("src_refund", "l_returnflag = 'R'")]
+    "name, rows",
+    [("src_quiz", "true"), ("src_activation_activity", "true"), ("src_refund", "l_returnflag = 'R'"), ("src_risk", "true")],
 )
 def test_no_fact_is_left_out(spark, name, rows):
     tables = StandinTables(spark, "/root/testdata/sf0.01")
     assert tables[name].count() == tables["lineitem"].filter(rows).count() > 0
+
+
+@pytest.mark.parametrize(
+    "name", ["customer", "identity_validation", "identity_validation_customer", "identity_validation_status", "account_address"]
+)
+def test_no_order_is_left_out(spark, name):
+    tables = StandinTables(spark, "/root/testdata/sf0.01")
+    assert tables[f"src_{name}"].count() == tables["orders"].count() > 0
+
+
+def test_gaps_are_there_without_cuts(spark):
+    tables = StandinTables(spark, "/root/testdata/sf0.01")
+    keys = tables["src_customer"].select("CustomerKey")
+    links = tables["src_identity_validation_customer"]
+    assert 0 < links.join(keys, "CustomerKey", "left_anti").count() < links.count()
+    risks = tables["src_risk"].groupBy("IdentityValidationKey").count()
+    assert risks.filter("count > 1").count() > 0
