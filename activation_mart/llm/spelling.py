@@ -22,6 +22,7 @@ SLIPS = 97  # one run in so many loses a letter
 #: Letter groups, a level of the trie each; all other letters are the last group.
 GROUPS = ("e", "ao", "iu", "nr", "st", "lh", "dc", "mp", "gbf", "vwy", "jkqxz")
 LEVELS = len(GROUPS) + 1
+MOST_TRUNK_LEVELS = 7  # as many bytes as a positive long has
 TRUNK_WORDS = 1 << 13  # words of a subtree that the trunk is made deep enough for
 PART_WORDS = 1 << 14  # words of a trie built at once
 PART_QUERIES = 1 << 16  # words searched in it at once
@@ -47,23 +48,28 @@ def words(docs: DataFrame) -> DataFrame:
     return counts.filter(F.col("n") >= MIN_COUNT)
 
 
-def _level_count(level: int) -> Column:
-    members = GROUPS[level]
-    return F.length("word") - F.length(F.translate("word", members, ""))
+def _code() -> Column:
+    """The word's counts at the levels that a trunk may have, a byte each, modulo 256."""
+    counts = [F.length("word") - F.length(F.translate("word", GROUPS[level], "")) for level in range(MOST_TRUNK_LEVELS)]
+    out = F.lit(0).cast("bigint")
+    for level, count in enumerate(counts):
+        out = out.bitwiseOR(F.shiftleft((count % 256).cast("bigint"), 8 * level))
+    return out
 
 
-def _trunks(depth: int) -> Column:
-    """The word's own trunk, and those a vector with one letter more, one of them perhaps another's, can have."""
-    own = [_level_count(level) for level in range(depth)]
+def _moved(code: Column, level: int, by: int) -> Column:
+    """The code with a count changed by one; it stays in its byte."""
+    kept = code.bitwiseAND(F.lit(~(255 << 8 * level)))
+    count = F.shiftrightunsigned(code, 8 * level).bitwiseAND(F.lit(255)) + by
+    return kept.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(255)), 8 * level))
 
-    def moved(*changes: tuple[int, int]) -> Column:
-        by = dict(changes)
-        return F.concat_ws(",", *(c + by.get(level, 0) for level, c in enumerate(own)))
 
-    out = [moved()] + [moved((i, 1)) for i in range(depth)]
+def _trunks(trunk: Column, depth: int) -> Column:
+    """The word's own trunk, and those a vector with one letter more, one of them perhaps another's, can have."""
+    more = [_moved(trunk, i, 1) for i in range(depth)]
     # The letter that another one replaces belongs to a later group: the other way round is the other word's search.
-    out += [F.when(own[j] > 0, moved((i, 1), (j, -1))) for i in range(depth) for j in range(i + 1, depth)]
-    return F.array_compact(F.array(*out))
+    other = [_moved(more[i], j, -1) for i in range(depth) for j in range(i + 1, depth)]
+    return F.array(trunk, *more, *other)
 
 
 def _letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -256,11 +262,11 @@ def near_words(vocabulary: DataFrame, trunk_words: int = TRUNK_WORDS, part_words
     above ``part_words``, or searched by more than ``part_queries`` words, is
     dealt out by hashes of both, part by part.
     """
-    size = vocabulary.count()
-    depth = max(1, min(8, math.ceil(math.log(max(size / trunk_words, 1), 3))))
-    placed = vocabulary.select(F.encode("word", "ISO-8859-1").alias("letters"), "n", _trunks(depth).alias("trunks"))
-    tree = placed.select(F.element_at("trunks", 1).alias("trunk"), "letters", "n")
-    queries = placed.select(F.explode("trunks").alias("trunk"), "letters", "n")
+    coded = settle(vocabulary.select(F.encode("word", "ISO-8859-1").alias("letters"), "n", _code().alias("code")), "coded")
+    depth = max(1, min(MOST_TRUNK_LEVELS, math.ceil(math.log(max(coded.count() / trunk_words, 1), 3))))
+    trunk = F.col("code").bitwiseAND(F.lit((1 << 8 * depth) - 1))
+    tree = coded.select(trunk.alias("trunk"), "letters", "n")
+    queries = coded.select(F.explode(_trunks(trunk, depth)).alias("trunk"), "letters", "n")
     sizes = tree.groupBy("trunk").agg(F.count(F.lit(1)).alias("tree_size"))
     asked = queries.groupBy("trunk").agg(F.count(F.lit(1)).alias("query_size"))
     parts = settle(
