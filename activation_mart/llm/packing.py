@@ -51,30 +51,24 @@ class WordIds:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _encode_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        plain = [w for w in words if self.mark is not None and MARK not in w]
         for word in words if self.mark is None else (w for w in words if MARK in w):
             yield word, self._encode(word).tobytes()
-        rest = iter(plain)
+        rest = (w for w in words if self.mark is not None and MARK not in w)
         while some := list(islice(rest, 4096)):
             ids = self._encode(f" {MARK} ".join(some))
-            parts = np.split(ids, np.flatnonzero(ids == self.mark))
-            yield some[0], parts[0].tobytes()
-            yield from ((word, part[1:].tobytes()) for word, part in zip(some[1:], parts[1:], strict=True))
+            marks = np.flatnonzero(ids == self.mark)
+            raw, ends = ids.tobytes(), [*(4 * marks).tolist(), 4 * len(ids)]
+            yield from zip(some, map(raw.__getitem__, map(slice, [0, *(4 * marks + 4).tolist()], ends)), strict=True)
 
     def of(self, words: list[str]) -> list[bytes]:
         if len(self.young) > CACHED_WORDS:
             self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        missing = []
-        for word in words:
-            if word not in young:
-                ids = old.get(word)
-                if ids is None:
-                    missing.append(word)
-                else:
-                    young[word] = ids
-        young.update(self._encode_words(missing))
-        return [young[word] for word in words]
+        young = self.young
+        unseen = [word for word in words if word not in young]
+        known = {word: ids for word in unseen if (ids := self.old.get(word)) is not None}
+        young.update(known)
+        young.update(self._encode_words([word for word in unseen if word not in known]))
+        return list(map(young.__getitem__, words))
 
 
 _loaded: dict[str, WordIds] = {}
@@ -103,7 +97,9 @@ def token_ids(words: WordIds, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     starts = np.cumsum(lengths) - lengths
     taken = lengths[at]
     after = np.cumsum(taken)
-    ids = pool[np.repeat(starts[at] - (after - taken), taken) + np.arange(after[-1] if len(after) else 0)]
+    place = np.repeat(starts[at] - (after - taken), taken)
+    place += np.arange(len(place))
+    ids = pool[place]
     text_ends = after[ends + np.arange(len(ends))] if len(ends) else np.zeros(0, np.int64)
     return ids, np.concatenate(([0], text_ends))
 
