@@ -14,6 +14,7 @@ from ..session import settle
 from . import texts
 from .components import linked_components
 from .registry import query, table
+from .rows import held, released
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -251,15 +252,14 @@ def without_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) ->
     first = classes.filter("is_first").select(
         F.col("key").alias("__of_key"), F.col("first_id").alias("__first_id"), F.col("n_first").alias("__n_first")
     )
-    names = docs.columns
-    keyed = docs.withColumn("__key", F.unhex(F.md5("text")))
+    keyed = held(docs, "doc_id", "text").withColumn("__key", F.unhex(F.md5("text")))
     match = F.expr("__key = __of_key AND doc_id <=> __first_id")
     kept = keyed.filter(F.col("text").isNotNull()).join(first, match)
     once = "__n_first = 1 AND __first_id IS NOT NULL"
     if not first.filter(f"NOT ({once})").isEmpty():  # a repeated row, or none with a doc_id
         repeated = kept.filter(f"NOT ({once})").dropDuplicates(["__key"])
         kept = kept.filter(once).unionByName(repeated)
-    return kept.select(*names).unionByName(docs.filter(F.col("text").isNull()))
+    return released(kept).unionByName(docs.filter(F.col("text").isNull()))
 
 
 @query("op1_minhash_near_duplicates")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.keys import with_surrogate_key
 from ..session import settle
 from .registry import query, table
+from .rows import held, released
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -111,12 +112,8 @@ def mix_sized(docs: DataFrame, seed: str = "mix", **shares) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as it is taken, with the columns of ``docs``."""
-    return (
-        mix(docs, **options)
-        .filter("__copies > 0")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-        .select(*docs.columns)
-    )
+    taken = mix(held(docs, "doc_id", "text", "source"), **options).filter("__copies > 0")
+    return released(taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))))
 
 
 SQL = f"""
