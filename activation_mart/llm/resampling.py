@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -19,10 +20,10 @@ BUCKETS = 1 << 20
 MOST_LABELLED = 50_000  # labelled rows that the models are fitted to, at most
 PREFIXES = (3, 4, 5, 6)
 PSEUDO_COUNT = 1.0
-LEVELS = (0.0, 1.0, 2.0, 3.0, 4.0)  # standard errors by which a count must fall short
-LEAST_LOG_RATIO = -1.0
+LEVELS = (2.0, 3.0, 4.0)  # standard errors from which a ratio counts in full
+UNSURE = 0.05  # share at which a ratio nearer to chance counts
+CLEAN_WORTH = 3.0  # rejected texts that one lost clean text is worth, for the cut
 COUNTS = ("raw0", "target0", "raw1", "target1")
-TEMPERATURE = 0.1
 
 _kind = np.zeros(256, np.uint8)  # 0 blank, 1 word, 2 sign
 _kind[33:127] = 2
@@ -75,11 +76,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLE
     )
 
 
-def count_features(sample: DataFrame) -> pd.DataFrame:
-    """Per bucket and half of the sample, the texts that have it: all (raw) and clean ones (target).
+def count_features(sample: DataFrame) -> np.ndarray:
+    """Per half of the sample and bucket, the texts that have it: all (raw) and clean ones (target).
 
-    Only buckets that clean texts have less often reach the driver; there is
-    one row per bucket at most, a fixed number.
+    Four numbers a bucket reach the driver, a fixed amount.
     """
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -96,81 +96,132 @@ def count_features(sample: DataFrame) -> pd.DataFrame:
     counts = (
         sample.mapInPandas(counted, "bucket bigint, " + ", ".join(f"{c} bigint" for c in COUNTS))
         .groupBy("bucket").agg(*[F.sum(c).alias(c) for c in COUNTS])
+        .toPandas()
     )
-    return counts.filter("raw0 + raw1 >= 3 AND 2 * (target0 + target1) < raw0 + raw1").toPandas()
+    out = np.zeros((4, BUCKETS), np.int32)
+    for i, name in enumerate(COUNTS):
+        out[i, counts["bucket"].to_numpy()] = counts[name].to_numpy()
+    return out
 
 
-def log_ratios(counts: pd.DataFrame, halves: tuple[int, ...], clean_share: float, level: float) -> np.ndarray:
-    """Log ratio of target to raw model for each bucket, from the counts of some halves.
+def log_ratios(raw: np.ndarray, target: np.ndarray, share: float, level: float) -> np.ndarray:
+    """Log ratio of the target's to the raw model for each bucket, from the texts that have it.
 
-    Only ratios below 1 that stand out from chance by ``level`` standard errors
-    are kept, all others are 1, so that length and topic weigh nothing.
+    Both models are normalised: ``share`` of raw texts are target texts, so a
+    bucket that is as frequent in both has ratio 1, as has an unseen one. A
+    ratio of either sign counts in full where the target's count stands out from
+    chance by ``level`` standard errors, else at the share UNSURE.
     """
-    raw = sum(counts[f"raw{h}"].to_numpy(float) for h in halves)
-    target = sum(counts[f"target{h}"].to_numpy(float) for h in halves)
-    expected = raw * clean_share
+    expected = raw * share
     ratio = np.log((target + PSEUDO_COUNT) / (expected + PSEUDO_COUNT))
-    low = (ratio < LEAST_LOG_RATIO) & (target - expected < -level * np.sqrt(expected + 1))
-    out = np.zeros(BUCKETS, np.float32)
-    out[counts["bucket"].to_numpy()[low]] = ratio[low]
-    return out
-
-
-def fit(sample: DataFrame) -> tuple[np.ndarray, float]:
-    """Log ratios, and the weight that best parts clean from other texts.
-
-    Each half of the sample is scored by the model of the other, for several
-    levels of significance; level and cut are those with the highest share of
-    clean texts kept plus share of others rejected.
+    sure = np.abs(target - expected) > level * np.sqrt(expected * (1 - share) + 0.25)
+    return np.where(sure, ratio, UNSURE * ratio).astype(np.float32)
+
+
+def mean_ratio(ratios: np.ndarray, text: str | None) -> float:
+    """Mean log ratio over the n-grams of a text, so that length weighs nothing; NaN without any."""
+    own = features(text)
+    return float(ratios[own].mean(dtype=np.float64)) if len(own) else float("nan")
+
+
+def log_odds(means: np.ndarray, clean: np.ndarray) -> tuple[float, float]:
+    """(slope, intercept) of a logistic fit of ``clean`` to the means, with Platt's smoothed targets."""
+    good, bad = clean.sum(), (~clean).sum()
+    goal = np.where(clean, (good + 1) / (good + 2), 1 / (bad + 2))
+    centre, spread = means.mean(), means.std() or 1.0
+    x = np.stack(((means - centre) / spread, np.ones(len(means))))
+    fitted = np.zeros(2)
+
+    def loss(at: np.ndarray) -> float:
+        z = at @ x
+        return float((np.logaddexp(0, z) - goal * z).sum())
+
+    for _ in range(100):
+        share = 1 / (1 + np.exp(-np.clip(fitted @ x, -500, 500)))
+        hessian = (x * (share * (1 - share) + 1e-9)) @ x.T + 1e-6 * np.eye(2)
+        step, size = np.linalg.solve(hessian, x @ (goal - share)), 1.0
+        while size > 1e-6 and loss(fitted + size * step) > loss(fitted):
+            size /= 2
+        fitted = fitted + size * step
+        if np.abs(size * step).max() < 1e-9:
+            break
+    return float(fitted[0] / spread), float(fitted[1] - fitted[0] * centre / spread)
+
+
+@dataclass
+class Resampler:
+    """Log ratios, the odds that their mean stands for, and the weight from which a text counts as target text."""
+
+    ratios: np.ndarray
+    slope: float = 0.0
+    intercept: float = 0.0
+    cut: float = float("-inf")
+
+    def weight(self, text: str | None) -> float:
+        """Calibrated log importance weight; least possible for a text without n-grams."""
+        mean = mean_ratio(self.ratios, text)
+        return float("-inf") if np.isnan(mean) else self.slope * mean + self.intercept
+
+
+def fit(sample: DataFrame) -> Resampler:
+    """Models, and their calibration on labelled texts.
+
+    Each half of the sample is scored by the models of the other, for several
+    levels of significance. Level and cut are those with most clean texts kept,
+    worth CLEAN_WORTH, and others rejected; a logistic fit turns the mean log
+    ratio, whose scale depends on the n-grams, into log odds.
     """
     totals = {
         (row["half"], row["clean"]): row["count"] for row in sample.groupBy("half", "clean").count().collect()
     }
     clean, other = (sum(n for (_, c), n in totals.items() if c is kind) for kind in (True, False))
     if not clean or not other:
-        return np.zeros(BUCKETS, np.float32), float("-inf")
+        return Resampler(np.zeros(BUCKETS, np.float32))
     counts = count_features(sample)
     share = [totals.get((h, True), 0) / max(1, totals.get((h, True), 0) + totals.get((h, False), 0)) for h in (0, 1)]
-    models = {
-        (h, i): log_ratios(counts, (1 - h,), share[1 - h], level) for h in (0, 1) for i, level in enumerate(LEVELS)
-    }
-    sparse = {key: (np.flatnonzero(m), m[np.flatnonzero(m)]) for key, m in models.items()}
-    shared = sample.sparkSession.sparkContext.broadcast(sparse)
+    shared = sample.sparkSession.sparkContext.broadcast(counts)
 
     def crossed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        dense = {}
-        for key, (at, ratio) in shared.value.items():
-            dense[key] = np.zeros(BUCKETS, np.float32)
-            dense[key][at] = ratio
+        models = {
+            (h, i): log_ratios(shared.value[2 - 2 * h], shared.value[3 - 2 * h], share[1 - h], level)
+            for h in (0, 1) for i, level in enumerate(LEVELS)
+        }
         for batch in batches:
             rows = []
             for text, half in zip(batch["text"], batch["half"]):
                 own = features(text)
-                rows.append([float(dense[half, i][own].sum(dtype=np.float64)) for i in range(len(LEVELS))])
-            yield pd.DataFrame({"clean": batch["clean"], "weights": rows})
+                if len(own):
+                    rows.append([float(models[half, i][own].mean(dtype=np.float64)) for i in range(len(LEVELS))])
+                else:
+                    rows.append(None)
+            yield pd.DataFrame({"clean": batch["clean"], "means": rows})
 
     # One row per text of the bounded sample.
-    scored = sample.mapInPandas(crossed, "clean boolean, weights array<double>").toPandas()
-    weights, is_clean = np.array(scored["weights"].tolist()), scored["clean"].to_numpy(bool)
-    best, level, cut = 0.0, LEVELS[-1], float("-inf")
-    for i, tried in enumerate(LEVELS):
-        values = np.unique(weights[:, i])
-        kept = 1 - np.searchsorted(np.sort(weights[is_clean, i]), values) / clean
-        rejected = np.searchsorted(np.sort(weights[~is_clean, i]), values) / other
-        gain = kept + rejected - 1
+    scored = sample.mapInPandas(crossed, "clean boolean, means array<double>").dropna().toPandas()
+    means, is_clean = np.array(scored["means"].tolist()).reshape(len(scored), -1), scored["clean"].to_numpy(bool)
+    if is_clean.all() or not is_clean.any():
+        return Resampler(np.zeros(BUCKETS, np.float32))
+    best, level, least = -1.0, 0, 0.0
+    for i in range(len(LEVELS)):
+        values = np.unique(means[:, i])
+        kept = 1 - np.searchsorted(np.sort(means[is_clean, i]), values) / is_clean.sum()
+        rejected = np.searchsorted(np.sort(means[~is_clean, i]), values) / (~is_clean).sum()
+        gain = CLEAN_WORTH * kept + rejected
         at = int(np.argmax(gain))
-        if gain[at] >= best:
-            best, level, cut = gain[at], tried, float(values[at])
-    return log_ratios(counts, (0, 1), clean / (clean + other), level), cut
+        if gain[at] > best:
+            best, level, least = gain[at], i, float(values[at])
+    slope, intercept = log_odds(means[:, level], is_clean)
+    whole = log_ratios(counts[0] + counts[2], counts[1] + counts[3], clean / (clean + other), LEVELS[level])
+    return Resampler(whole, slope, intercept, slope * least + intercept)
 
 
-def log_weight(spark: SparkSession, ratios: np.ndarray):
-    """Column function: log importance weight of a text, the sum over its n-grams."""
-    shared = spark.sparkContext.broadcast(ratios)
+def log_weight(spark: SparkSession, fitted: Resampler):
+    """Column function: calibrated log importance weight of a text."""
+    shared = spark.sparkContext.broadcast(fitted)
 
     def weigh(column: pd.Series) -> pd.Series:
-        ratios = shared.value
-        return pd.Series([float(ratios[features(text)].sum(dtype=np.float64)) for text in column])
+        fitted = shared.value
+        return pd.Series([fitted.weight(text) for text in column], dtype="float64")
 
     weigh.__annotations__ = {"column": pd.Series, "return": pd.Series}
     return F.pandas_udf(weigh, DoubleType())
@@ -185,27 +236,30 @@ def resample(docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABEL
     """Every row of ``docs`` with ``__weight``, ``__score`` and ``__kept``.
 
     The target is the clean part of a labelled sample, raw text the whole
-    sample; both are models of hashed n-grams, counted once per text.
-    ``__weight`` is the log ratio of the two for the whole text; ``__score`` adds Gumbel noise (from a hash of doc_id) at
-    TEMPERATURE, and the k rows of highest score are kept, which draws k rows
-    without replacement in proportion to their weights. k is the number of rows
-    whose weight reaches the cut calibrated on labelled rows. The k-th score is
-    found by numbering (score, doc_id) over range partitions; rows never meet
-    in one task.
-
-    NULL and empty texts have no n-grams and weight 0; ties go to the smaller
-    doc_id, NULL last; equal rows are kept or dropped together; without labels of both kinds all
-    rows are kept; an empty table gives an empty result; extra columns stay.
+    sample; both are normalised models of hashed n-grams, counted once per text.
+    ``__weight`` is the mean over the text's n-grams of the log ratio of the two,
+    calibrated to log odds on labelled texts; ``__score`` adds standard Gumbel
+    noise (from a hash of doc_id), and the k rows of highest score are kept,
+    which draws k rows without replacement in proportion to the odds. k is the
+    number of rows whose weight reaches the cut found on labelled rows. The k-th
+    score is found by numbering (score, doc_id) over range partitions; rows
+    never meet in one task.
+
+    NULL and empty texts have no n-grams and the least weight, minus infinity;
+    a text of unknown n-grams has a mean ratio of 1. Ties go to the smaller
+    doc_id, NULL last; equal rows are kept or dropped together; without labels
+    of both kinds all rows are kept; an empty table gives an empty result; extra
+    columns stay, but for those named like the three added.
     """
     spark = docs.sparkSession
     sample = settle(labelled_sample(docs, labels, most_labelled), "labelled")
-    ratios, cut = fit(sample)
-    weigh = log_weight(spark, ratios)
+    fitted = fit(sample)
+    weigh = log_weight(spark, fitted)
     scored = settle(docs.withColumn("__weight", weigh("text")), "weighed")
-    score = F.col("__weight") + TEMPERATURE * _gumbel(F.col("doc_id"))
+    score = F.col("__weight") + _gumbel(F.col("doc_id"))
     tie = F.coalesce("doc_id", F.lit(2**63 - 1))
     scored = scored.withColumn("__score", score)
-    k = scored.filter(F.col("__weight") >= F.lit(cut)).count()
+    k = scored.filter(F.col("__weight") >= F.lit(fitted.cut)).count()
     if not k:
         return scored.withColumn("__kept", F.lit(False))
     ranked = with_surrogate_key(

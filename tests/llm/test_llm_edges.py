@@ -135,7 +135,7 @@ def test_resampling(spark, none):
     frame = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
     kept = {r["doc_id"] for r in resampling.resample(docs, frame).filter("__kept").collect()}
     assert kept >= {k for k, _ in clean} and not kept & {k for k, _ in foul}
-    assert {2000, 2001, None} <= kept and 2002 not in kept
+    assert None in kept and not kept & {2000, 2001, 2002}
     assert resampling.resample(docs, frame.limit(0)).filter("__kept").count() == 405
     assert resampling.resample(docs.limit(0), frame).count() == 0
     assert sorted(resampling.resample(none, frame).columns) == sorted([*none.columns, "__weight", "__score", "__kept"])
@@ -332,5 +332,5 @@ def test_decontamination(spark, docs, none):
 
 def test_every_number_has_a_query():
     names = registry.queries()
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14))
     assert set(registry.oracles()) <= set(names)
