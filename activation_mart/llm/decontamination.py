@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
 from .registry import query, table
+from .rows import held, released
 
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before lower-casing
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
+WINDOWS_AT_ONCE = 256  # of one word, compared with a place in one row
+MOST_BROADCAST_WORDS = 200_000  # some MB
 
 
 def raw_words(text: Column) -> Column:
@@ -71,6 +74,27 @@ def rarest_words(docs: DataFrame, windows: DataFrame) -> DataFrame:
     )
 
 
+def _with_words(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, __text, raw, pos, word): the places of the ``wanted`` words, with the text's words.
+
+    Few words are broadcast, by their count, and the text stays where it is.
+    Many meet the places alone, a word and its position; the places of a text
+    come together again and fetch it once.
+    """
+    if wanted.count() <= MOST_BROADCAST_WORDS:
+        return _tokens(docs, "doc_id", "__text").join(F.broadcast(wanted), "word", "left_semi")
+    places = (
+        _tokens(docs, "doc_id", "__text").select("doc_id", "__text", "pos", "word")
+        .join(wanted, "word", "left_semi")
+        .groupBy("doc_id", "__text").agg(F.collect_set(F.struct("pos", "word")).alias("places"))
+        .withColumnsRenamed({"doc_id": "__of_doc", "__text": "__of_text"})
+    )
+    rows = docs.select("doc_id", "__text", "text").join(places, F.expr("doc_id <=> __of_doc AND __text <=> __of_text"))
+    return rows.select(
+        "doc_id", "__text", raw_words(F.col("text")).alias("raw"), F.explode("places").alias("place")
+    ).select("doc_id", "__text", "raw", "place.pos", "place.word")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Each row of ``docs`` with its words inside benchmark windows, ``__hit``, and ``__items`` found; else NULL.
 
@@ -85,21 +109,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     NULL and empty texts have no words and no hits, as have items without
     words; items with a NULL id are found but not listed. Rows are told apart by
     doc_id, which may be NULL, and a hash of the text; equal rows have equal
-    hits. Extra columns are returned as they are. An empty table on either
-    side gives no hits.
+    hits. Extra columns are returned as they are, but for those that are named
+    like the two added; columns __text, __doc and __same are replaced. An empty
+    table on either side gives no hits.
     """
     windows = settle(rarest_words(docs, settle(item_windows(benchmark, window), "windows")), "rarest")
-    by_word = windows.groupBy("word").agg(
+    # A word that is the rarest of very many windows has several rows, and so its windows several arrays.
+    parts = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("word")) / WINDOWS_AT_ONCE)
+    by_word = windows.withColumn("__part", F.pmod(F.xxhash64("window"), parts)).groupBy("word", "__part").agg(
         F.collect_list(F.struct("place", "length", "window", "items")).alias("__windows")
     )
-    by_word = settle(by_word, "by-word")
+    by_word = settle(by_word.drop("__part"), "by-word")
     longest = window  # no window is longer, so the words around a place are enough
     around = F.slice("raw", F.greatest(F.lit(1), F.col("pos") + 2 - longest), F.lit(2 * longest - 1))
     at = F.least(F.col("pos"), F.lit(longest - 1))
-    keyed = docs.withColumn("__text", F.xxhash64("text"))
+    keyed = docs.drop("__hit", "__items", "__doc", "__same").withColumn("__text", F.xxhash64("text"))
+    rare = settle(by_word.select("word").distinct(), "rare-words")
     found = (
-        _tokens(keyed, "doc_id", "__text")
-        .join(by_word.select("word"), "word", "left_semi")
+        _with_words(keyed, rare)
         .select("doc_id", "__text", "word", "pos", at.alias("at"), F.transform(around, folded).alias("around"))
         .join(by_word, "word")
     )
@@ -130,8 +157,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any benchmark window, with their own columns."""
-    found = contamination(docs, benchmark, window)
-    return found.filter(F.col("__hit").isNull()).select(*docs.columns)
+    found = contamination(held(docs, "doc_id", "text"), benchmark, window)
+    return released(found.filter(F.col("__hit").isNull()))
 
 
 SQL = f"""
