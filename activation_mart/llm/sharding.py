@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..session import settle
 from .registry import query, table
+from .rows import WHOLE, held
 
 SHARDS = 40
 RANGES_PER_SHARD = 8
@@ -51,11 +52,12 @@ def _range_of(key: Column, bounds: list[int], low: int = 0) -> Column:
 
 
 def assign_shards(sized: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Add ``shard`` and ``slot`` to rows of (doc_id, __key, __size, ...).
+    """Add ``shard`` and ``slot`` to settled rows of (doc_id, __id, __key, __size, ...).
 
     Rows fall into ranges between splitters. A range above its share, or above
     MOST_SLICE_BYTES, is subdivided by a hash of the key, and what is still
-    above by a hash of doc_id, as one key may hold a third of all rows. Then
+    above by a hash of doc_id, and of the row's number where text and doc_id are
+    repeated, as one key or one row may be a third of the table. Then
     each row's first byte is known: bytes of ranges before, of slices before,
     and a running sum within its slice; the shard is that byte's share of the
     total, so shards differ by about one row in size. Slots number the rows of
@@ -84,7 +86,14 @@ def assign_shards(sized: DataFrame, shards: int = SHARDS) -> DataFrame:
         )
 
     placed = slices(placed, ["__range"], "__slice", F.xxhash64("__key", F.lit(1)))
-    placed = slices(placed, ["__range", "__slice"], "__part", F.xxhash64("doc_id", F.lit(2)))
+    # Rows equal in text and doc_id, which may be many, are told apart by their numbers; all others don't depend on these.
+    repeated = sized.groupBy(F.col("__key").alias("__of_key"), F.col("doc_id").alias("__of_doc")).agg(
+        F.count(F.lit(1)).alias("__times")
+    )
+    repeated = settle(repeated.filter("__times > 1"), "repeated")
+    placed = placed.join(repeated, F.expr("__key <=> __of_key AND doc_id <=> __of_doc"), "left")
+    by_row = F.when(F.col("__times").isNotNull(), F.xxhash64("__id")).otherwise(F.xxhash64("doc_id", F.lit(2)))
+    placed = slices(placed, ["__range", "__slice"], "__part", by_row).drop("__of_key", "__of_doc", "__times")
     cell = ["__range", "__slice", "__part"]
     cells = placed.groupBy(*cell).agg(F.sum("__size").alias("__bytes"), F.count(F.lit(1)).alias("__rows"))
     # Sums of what stands before: of ranges (at most a fixed number), and of cells within a range.
@@ -116,11 +125,11 @@ def assign_shards(sized: DataFrame, shards: int = SHARDS) -> DataFrame:
     return local.join(firsts, "shard").withColumn("slot", F.col("__place") - F.col("__first")).drop("__place", "__first")
 
 
-def sized_rows(docs: DataFrame) -> DataFrame:
+def sized_rows(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, hash and size of each text, settled; NULL texts have no bytes but those of a row."""
     return settle(
         docs.select(
-            "doc_id",
+            "doc_id", *more, F.monotonically_increasing_id().alias("__id"),
             F.xxhash64("text").alias("__key"),
             (F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).cast("long").alias("__size"),
             F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
@@ -131,10 +140,30 @@ def sized_rows(docs: DataFrame) -> DataFrame:
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Shard and slot of every document by the law of bytes; see ``assign_shards``."""
-    return assign_shards(sized_rows(docs), shards).select(
-        "doc_id", F.col("__size").alias("size"), "text_crc32", F.lit("bytes").alias("law"),
-        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    return assign_shards(sized_rows(docs), shards).select("doc_id", *_assigned())
+
+
+def _assigned() -> list[Column]:
+    return [
+        F.col("__size").alias("size"), F.col("text_crc32"), F.lit("bytes").alias("law"),
+        F.col("shard"), F.col("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    ]
+
+
+def sharded_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """The documents themselves with their shard and slot, and the other columns of ``shard_documents``.
+
+    Rows are numbered once, in a settled copy, for equal rows stand in different
+    slots. Columns of ``docs`` that are named like the ones added go.
+    """
+    added = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    names = [c for c in docs.columns if c not in added]
+    numbered = settle(held(docs, "doc_id", "text").withColumn("__number", F.monotonically_increasing_id()), "documents")
+    placed = assign_shards(sized_rows(numbered, "__number"), shards).select(
+        F.col("__number").alias("__of"), *_assigned()
     )
+    both = numbered.select(WHOLE, "__number").join(placed, F.col("__number") == F.col("__of"))
+    return both.select(*(F.col(f"{WHOLE}.`{c}`") for c in names), *added)
 
 
 @query("op7_sampled_splitters")
