@@ -16,7 +16,7 @@ from .registry import query, table
 LENGTH = 200
 SEED = 24  # bytes of the substring that deals windows out
 BLOCK_BYTES = 1 << 20  # of strings that are transformed together
-MOST_GROUP_BYTES = 64 << 20  # of one seed; beyond, its windows are counted one by one
+MOST_GROUP_BYTES = 8 << 20  # of one seed, some 0.5 GB of arrays; beyond, its windows are counted one by one
 PLACE = np.uint64((1 << 24) - 1)
 PACKED = 7  # symbols of 9 bits in the first sort key
 
