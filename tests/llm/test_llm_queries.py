@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -14,7 +13,8 @@ import pytest
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from activation_mart.llm import lines, minhash, registry
+from activation_mart.llm import minhash, registry
+from activation_mart.session import current_scratch
 
 FOLDER = "/root/testdata/sf0.01"
 TABLES = "documents pages benchmark labels".split()
@@ -94,24 +94,6 @@ def test_near_duplicates_against_all_pairs(spark, documents):
     assert all(roots[place[key]] == roots[place[of]] for key, of in found.items())
 
 
-def test_lines_against_all_pairs(spark, documents):
-    places = defaultdict(list)
-    for key, text, _ in documents:
-        for pos, line in enumerate(text.split("\n")):
-            if line.strip():
-                places[line].append((key, pos))
-    anchored = re.compile(r"(?<!\S)(?=(\S[\s\S]{0,%d}))" % (lines.CHARS - 1))
-    texts = list(places)
-    roots = roots_of(len(texts), similar_pairs([set(anchored.findall(t.lower())) for t in texts], lines.SIMILARITY))
-    first = {}
-    for root, text in zip(roots, texts):
-        first[root] = min(first.get(root, (1 << 60, 0)), min(places[text]))
-    expected = {p for root, text in zip(roots, texts) for p in places[text] if p != first[root]}
-    rows = registry.queries()["op9_fuzzy_lines"](spark, FOLDER).collect()
-    found = {(r["doc_id"], pos) for r in rows for pos in r["removed"]}
-    assert len(found & expected) >= 0.99 * len(expected) and len(found - expected) <= 0.01 * len(expected)
-
-
 def test_substrings_against_all_windows(spark, documents):
     raws = {key: text.encode() for key, text, _ in documents}
     seen = Counter(raw[i : i + 200] for raw in raws.values() for i in range(len(raw) - 199))
@@ -164,7 +146,7 @@ def test_pipeline(spark, documents, duck):
     left = {}
     for name, stage in corpus_pipeline.STAGES[:3]:
         docs = stage(spark, docs, FOLDER)
-        docs.write.mode("overwrite").parquet(path := f"{corpus_pipeline.shared_folder(spark)}/test-{name.replace(' ', '-')}")
+        docs.write.parquet(path := current_scratch(spark).path(f"test-{name.replace(' ', '-')}"))
         docs = spark.read.parquet(path)
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         left[name] = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
