@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from activation_mart.llm import decontamination, minhash, mixing, resampling, sharding
-from activation_mart.session import shared_folder
+from activation_mart.llm.rows import held, released
+from activation_mart.session import current_scratch
 
 ORACLE_SQL = None  # hashed models and signatures have no SQL; tests compare with brute force
 
@@ -15,7 +14,7 @@ ORACLE_SQL = None  # hashed models and signatures have no SQL; tests compare wit
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier draws; those it rejects go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return resampling.resample(docs, labels).filter("__kept").select(*docs.columns)
+    return released(resampling.resample(held(docs, "doc_id", "text"), labels).filter("__kept"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +33,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of each document of the mix."""
-    return sharding.shard_documents(docs)
+    """Each document of the mix with its shard and slot."""
+    return sharding.sharded_documents(docs)
 
 
 STAGES = [
@@ -48,9 +47,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder."""
+    """All stages over the documents of a folder: the documents left, with their shards and slots.
+
+    The stages state what NULLs, empty and long texts, repeated rows and extra
+    columns give; documents of an empty table give an empty result. Each
+    stage's documents lie in the shared folder, and go with the run around the
+    caller (``run_scope``).
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
+    folder = current_scratch(spark).path("corpus-pipeline")
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name.replace(' ', '-')}"
         stage(spark, docs, sf_dir).write.parquet(path)
