@@ -95,8 +95,9 @@ def count_features(sample: DataFrame) -> np.ndarray:
 
     counts = (
         sample.mapInPandas(counted, "bucket bigint, " + ", ".join(f"{c} bigint" for c in COUNTS))
-        .groupBy("bucket").agg(*[F.sum(c).alias(c) for c in COUNTS])
-        .toPandas()
+        .groupBy("bucket").agg(*[F.sum(c).cast("int").alias(c) for c in COUNTS])
+        .select(F.col("bucket").cast("int"), *COUNTS)
+        .toArrow()  # 20 bytes a bucket; as rows they would be objects
     )
     out = np.zeros((4, BUCKETS), np.int32)
     for i, name in enumerate(COUNTS):
@@ -180,6 +181,7 @@ def fit(sample: DataFrame) -> Resampler:
     counts = count_features(sample)
     share = [totals.get((h, True), 0) / max(1, totals.get((h, True), 0) + totals.get((h, False), 0)) for h in (0, 1)]
     shared = sample.sparkSession.sparkContext.broadcast(counts)
+    names = [f"mean{i}" for i in range(len(LEVELS))]
 
     def crossed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         models = {
@@ -188,17 +190,15 @@ def fit(sample: DataFrame) -> Resampler:
         }
         for batch in batches:
             rows = []
-            for text, half in zip(batch["text"], batch["half"]):
+            for text, clean, half in zip(batch["text"], batch["clean"], batch["half"]):
                 own = features(text)
                 if len(own):
-                    rows.append([float(models[half, i][own].mean(dtype=np.float64)) for i in range(len(LEVELS))])
-                else:
-                    rows.append(None)
-            yield pd.DataFrame({"clean": batch["clean"], "means": rows})
+                    rows.append([bool(clean), *(float(models[half, i][own].mean(dtype=np.float64)) for i in range(len(LEVELS)))])
+            yield pd.DataFrame(rows, columns=["clean", *names])
 
     # One row per text of the bounded sample.
-    scored = sample.mapInPandas(crossed, "clean boolean, means array<double>").dropna().toPandas()
-    means, is_clean = np.array(scored["means"].tolist()).reshape(len(scored), -1), scored["clean"].to_numpy(bool)
+    scored = sample.mapInPandas(crossed, "clean boolean, " + ", ".join(f"{c} double" for c in names)).toArrow()
+    means, is_clean = np.stack([scored[c].to_numpy() for c in names], axis=1), scored["clean"].to_numpy().astype(bool)
     if is_clean.all() or not is_clean.any():
         return Resampler(np.zeros(BUCKETS, np.float32))
     best, level, least = -1.0, 0, 0.0
