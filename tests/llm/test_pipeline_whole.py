@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import os
 import random
 from collections import Counter
@@ -30,17 +31,15 @@ def test_all_stages(spark, tmp_path):
     kept = {r["doc_id"] for r in registry.queries()["op4_importance_resampling"](spark, FOLDER).filter("kept").collect()}
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    with run_scope(spark, str(tmp_path)):
-        for number, (name, stage) in enumerate(corpus_pipeline.STAGES[:3]):
-            stage(spark, docs, FOLDER).write.parquet(str(tmp_path / "in" / str(number) / "documents.parquet"))
-            docs = spark.read.parquet(str(tmp_path / "in" / str(number) / "documents.parquet"))
-            assert docs.columns == COLUMNS
-            if name == "quality classifier":
-                assert {r["doc_id"] for r in docs.select("doc_id").collect()} == kept
+    with run_scope(spark, str(tmp_path)) as scope:
         result = [r.asDict() for r in corpus_pipeline.run(spark, FOLDER).collect()]
+        stages = sorted(glob.glob(f"{scope.folder}/corpus-pipeline-*/*"))
+        assert [os.path.basename(path)[0] for path in stages] == list("01234")
+        assert all(spark.read.parquet(path).columns == COLUMNS for path in stages[:4])
+        assert {r["doc_id"] for r in spark.read.parquet(stages[0]).select("doc_id").collect()} == kept
+        duck = duckdb.connect()
+        duck.sql(f"CREATE TABLE documents AS SELECT * FROM '{stages[2]}/*.parquet'")
     assert os.listdir(tmp_path / "activation-mart") == []
-    duck = duckdb.connect()
-    duck.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/in/2/documents.parquet/*.parquet'")
     sql = registry.oracles()["op5_mix_sources"]
     copies = {key: taken // size for key, taken, size in duck.sql(f"SELECT doc_id, taken, size FROM ({sql}) WHERE size > 0").fetchall() if taken}
     found = Counter(r["doc_id"] for r in result)

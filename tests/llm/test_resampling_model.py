@@ -57,10 +57,12 @@ def test_weights_and_draw(spark):
         log = math.log((target[bucket] + 1) / (expected + 1))
         return log if abs(target[bucket] - expected) > level * math.sqrt(expected * (1 - share) + 0.25) else 0.05 * log
 
+    found = {k: resampling.features(t).tolist() for k, t in texts.items() if t}
     rows = registry.queries()["op4_importance_resampling"](spark, FOLDER).collect()
     fits = []
     for level in resampling.LEVELS:
-        means = {k: np.mean([ratio(b, level) for b in resampling.features(t).tolist()]) for k, t in texts.items() if t}
+        known = {b: ratio(b, level) for b in raw}
+        means = {k: sum(known.get(b, 0.0) for b in own) / len(own) for k, own in found.items()}
         fits.append(max(abs(fitted.slope * means[r["doc_id"]] + fitted.intercept - r["weight"]) for r in rows if r["doc_id"] in means))
     assert min(fits) < 1e-3 * max(1, abs(fitted.slope))
     noise = {r["doc_id"]: r["score"] - r["weight"] for r in rows}
