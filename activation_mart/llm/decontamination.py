@@ -158,7 +158,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any benchmark window, with their own columns."""
     found = contamination(held(docs, "doc_id", "text"), benchmark, window)
-    return released(found.filter(F.col("__hit").isNull()))
+    return released(found.filter(F.col("__hit").isNull()), docs)
 
 
 SQL = f"""

@@ -259,7 +259,7 @@ def without_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) ->
     if not first.filter(f"NOT ({once})").isEmpty():  # a repeated row, or none with a doc_id
         repeated = kept.filter(f"NOT ({once})").dropDuplicates(["__key"])
         kept = kept.filter(once).unionByName(repeated)
-    return released(kept).unionByName(docs.filter(F.col("text").isNull()))
+    return released(kept, docs).unionByName(docs.filter(F.col("text").isNull()))
 
 
 @query("op1_minhash_near_duplicates")

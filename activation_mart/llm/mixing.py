@@ -113,7 +113,8 @@ def mix_sized(docs: DataFrame, seed: str = "mix", **shares) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as it is taken, with the columns of ``docs``."""
     taken = mix(held(docs, "doc_id", "text", "source"), **options).filter("__copies > 0")
-    return released(taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))))
+    copied = taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    return released(copied, docs)
 
 
 SQL = f"""

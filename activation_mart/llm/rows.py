@@ -9,11 +9,16 @@ WHOLE = "__whole"
 
 
 def held(docs: DataFrame, *needed: str) -> DataFrame:
-    """The ``needed`` columns, and all columns of the row as one: no name among them can clash with an operator's own."""
-    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(WHOLE), *needed)
+    """The ``needed`` columns, and all others as one: no name among these can clash with an operator's own."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in needed] or [F.lit(0).alias("none")]
+    return docs.select(F.struct(*others).alias(WHOLE), *needed)
 
 
-def released(rows: DataFrame, **changed: Column) -> DataFrame:
-    """The rows as they were held, with the ``changed`` columns."""
-    names = rows.schema[WHOLE].dataType.names
-    return rows.select(*(changed[c].alias(c) if c in changed else F.col(f"{WHOLE}.`{c}`") for c in names))
+def released(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """Rows of ``held`` with the columns of ``docs`` in their order, and the ``changed`` ones."""
+    inside = set(rows.schema[WHOLE].dataType.names)
+
+    def column(name: str) -> Column:
+        return changed.get(name, F.col(f"{WHOLE}.`{name}`") if name in inside else F.col(f"`{name}`"))
+
+    return rows.select(*(column(c).alias(c) for c in docs.columns))

@@ -158,8 +158,9 @@ def sharded_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """
     added = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
     names = [c for c in docs.columns if c not in added]
-    numbered = settle(held(docs, "doc_id", "text").withColumn("__number", F.monotonically_increasing_id()), "documents")
-    placed = assign_shards(sized_rows(numbered, "__number"), shards).select(
+    numbered = settle(held(docs).withColumn("__number", F.monotonically_increasing_id()), "documents")
+    texts = numbered.select("__number", F.col(f"{WHOLE}.doc_id").alias("doc_id"), F.col(f"{WHOLE}.text").alias("text"))
+    placed = assign_shards(sized_rows(texts, "__number"), shards).select(
         F.col("__number").alias("__of"), *_assigned()
     )
     both = numbered.select(WHOLE, "__number").join(placed, F.col("__number") == F.col("__of"))
