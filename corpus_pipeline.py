@@ -14,7 +14,7 @@ ORACLE_SQL = None  # hashed models and signatures have no SQL; tests compare wit
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier draws; those it rejects go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return released(resampling.resample(held(docs, "doc_id", "text"), labels).filter("__kept"))
+    return released(resampling.resample(held(docs, "doc_id", "text"), labels).filter("__kept"), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +33,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document of the mix with its shard and slot."""
-    return sharding.sharded_documents(docs)
+    """Shard and slot of each document of the mix; its texts are the stage before, which ``run`` leaves beside it."""
+    return sharding.shard_documents(docs)
 
 
 STAGES = [
@@ -47,7 +47,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder: the documents left, with their shards and slots.
+    """All stages over the documents of a folder: shards and slots of the documents left.
 
     The stages state what NULLs, empty and long texts, repeated rows and extra
     columns give; documents of an empty table give an empty result. Each
