@@ -258,3 +258,23 @@ def test_not_in_reads_the_right_side_once(large, tmp_path, monkeypatch):
     out = null_aware_anti(left, right, "k")
     assert scans("".join(plans) + plan_of(out), "right") == 1 and "LeftAnti" in plan_of(out)
     assert sorted(r[0] for r in out.collect()) == [5, 6, 7, 8]
+
+
+def test_an_update_reads_customers_four_times(tables, monkeypatch):
+    """For the changes, for all cards of the changed accounts, and by key for steps and balances."""
+    from activation_mart.plans import run_update
+    from activation_mart.session import settle
+
+    w = World()
+    w.held(1, TCustomerkey=1, PCustomerkey=2, VCustomerkey=1)
+    plans = []
+
+    def noted(df, label):
+        plans.append(plan_of(df))
+        return settle(df, label)
+
+    for module in ("operators.latest", "operators.keys", "operators.lookup", "plans.block", "plans.cards", "plans.runs"):
+        monkeypatch.setattr(f"activation_mart.{module}.settle", noted)
+    out = run_update(tables, w.master(tables.spark), WINDOW)
+    assert scans("".join(plans) + plan_of(out), "customer") == 4
+    assert [r["PCurrBalance"] is not None for r in out.collect()] == [True]
