@@ -228,8 +228,8 @@ def _(t):
 @check(
     "d20_internal_lookup",
     patched(
-        "src_account_master",
-        """(SELECT a.AccountKey FROM src_account_master a
+        "src_checked_master",
+        """(SELECT a.AccountKey FROM src_checked_master a
             JOIN x_internal i ON i.IdentityValidationKey = a.LastIdentityValidationKey
             WHERE lower(Activation_step) = 'approved' AND LastAttemptValue IS NULL
               AND lower(rtrim(VerificationStatusType)) = 'approved')""",
@@ -237,8 +237,9 @@ def _(t):
     ),
 )
 def _(t):
-    tags = internal_lookup(t.master, t.sources)
-    return keyed_patch(t.master, tags, "AccountKey", ["LastAttemptValue"])
+    master = t["src_checked_master"]
+    tags = internal_lookup(master, t.sources)
+    return keyed_patch(master, tags, "AccountKey", ["LastAttemptValue"])
 
 
 _BANK_NOW = """(SELECT m.AccountKey, m.BankKey, b.BankKey AS newbankkey, b.BankName AS newbankname

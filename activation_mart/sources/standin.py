@@ -229,6 +229,8 @@ STANDINS: dict[str, str] = {
             ON v.IdentityValidationKey = c.CustomerKey + 1000000 AND c.CustomerKey % 5 <> 4
         WHERE c.rn = 1""",
 }
+# The same master, where every account whose sign-up had a check has it, whoever answered it.
+STANDINS["src_checked_master"] = STANDINS["src_account_master"].replace(" AND c.CustomerKey % 5 <> 4", "")
 
 
 def needs(name: str) -> list[str]:
