@@ -34,8 +34,8 @@ def signup_keys(
 
 
 def _named(keys: DataFrame, src: Sources) -> DataFrame:
-    """Sign-up columns and customer key of rows of ``signup_keys``."""
-    return keys.join(src["bank"].select("BankKey", "BankName"), "BankKey").select(
+    """Sign-up columns and customer key of rows of ``signup_keys``, which stay where they are: banks are few."""
+    return keys.join(F.broadcast(src["bank"].select("BankKey", "BankName")), "BankKey").select(
         "AccountKey", "CreateDate", "BankKey", "BankName",
         channel_label("isOnlineProduct").alias("Channel"), "CustomerKey",
     )
