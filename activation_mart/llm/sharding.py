@@ -71,7 +71,8 @@ def assign_shards(sized: DataFrame, shards: int = SHARDS) -> DataFrame:
     total = sized.agg(F.sum("__size")).first()[0] or 1
     share = min(max(total / ranges, 1.0), MOST_SLICE_BYTES)
     bounds = splitters(sized, total, ranges)
-    placed = sized.withColumn("__range", _range_of(F.col("__key"), bounds))
+    # Settled, for some hundred boundaries in the plan of every branch that follows fill the driver's memory.
+    placed = settle(sized.withColumn("__range", _range_of(F.col("__key"), bounds)), "ranges")
 
     def slices(frame: DataFrame, cell: list[str], name: str, by: Column) -> DataFrame:
         """Split each cell above twice its share by a hash."""
@@ -94,6 +95,7 @@ def assign_shards(sized: DataFrame, shards: int = SHARDS) -> DataFrame:
     placed = placed.join(repeated, F.expr("__key <=> __of_key AND doc_id <=> __of_doc"), "left")
     by_row = F.when(F.col("__times").isNotNull(), F.xxhash64("__id")).otherwise(F.xxhash64("doc_id", F.lit(2)))
     placed = slices(placed, ["__range", "__slice"], "__part", by_row).drop("__of_key", "__of_doc", "__times")
+    placed = settle(placed, "parts")
     cell = ["__range", "__slice", "__part"]
     cells = placed.groupBy(*cell).agg(F.sum("__size").alias("__bytes"), F.count(F.lit(1)).alias("__rows"))
     # Sums of what stands before: of ranges (at most a fixed number), and of cells within a range.
