@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.keys import with_surrogate_key
 from ..session import settle
 from . import texts
-from .components import linked_components
+from .components import linked_components, own_weights
 from .registry import query, table
 from .rows import held, released
 
@@ -230,10 +230,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         both = left.join(fetched.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         return weighted_jaccard(both, idf).filter(F.col("similarity") >= similarity).select("a", "b").distinct()
 
-    def elements(wanted: DataFrame, fetched: DataFrame) -> DataFrame:
-        return weighted_shingles(fetched.join(wanted, "node"), idf).distinct()
+    def own(wanted: DataFrame, fetched: DataFrame) -> DataFrame:
+        return own_weights(weighted_shingles(fetched.join(wanted, "node"), idf).distinct())
 
-    roots, links = linked_components(members, fetch, compare, elements, similarity)
+    roots, links = linked_components(members, fetch, compare, own, similarity)
     ends = links.select(F.col("a").alias("node")).union(links.select("b"))
     degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     firsts = nodes.select(F.col("node").alias("root"), F.col("first_id").alias("class_id"))
